@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import load
-from . import canonical, leaks
+from . import canonical, collapse, groups, leaks
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,12 +15,31 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(texts, leaks.item_texts(load(spark, sf_dir, "eval_items")), ["corpus", "row_key"])
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse.hidden_copies(load(spark, sf_dir, "training_rows"))
+
+
+def p3_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records, _ = collapse.collapse_records(load(spark, sf_dir, "training_rows"))
+    return records.select("first_record", "copies")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups.row_groups(load(spark, sf_dir, "training_rows"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.look_alike_pairs(load(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p10_found": p10_found}
+    return {
+        "p1_found": p1_found,
+        "p3_found": p3_found,
+        "p3_records": p3_records,
+        "p4_found": p4_found,
+        "p10_found": p10_found,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
