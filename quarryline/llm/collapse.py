@@ -26,34 +26,32 @@ def field_words(c: Column) -> Column:
     return F.when(F.contains(c, F.lit(":")), F.when(listed, F.array_join(F.array_sort(fields), " ")).otherwise(plain)).otherwise(plain)
 
 
-def _rows(df: DataFrame, key: str) -> DataFrame:
-    raw = [F.col(c) for c in ("question", "answer", "chunk_ids")]
-    print_of = fingerprint(F.to_json(F.struct(*raw), {"ignoreNullFields": "false"}))
-    return df.select(F.col(key).alias("record"), *raw, print_of.alias("raw"))
+def _raw_print() -> Column:
+    return fingerprint(F.to_json(F.struct("question", "answer", "chunk_ids"), {"ignoreNullFields": "false"}))
 
 
-def collapse_records(df: DataFrame, key: str = "record_number") -> tuple[DataFrame, DataFrame]:
+def collapse_records(df: DataFrame, key: str = "record_number", cited_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """(records, membership) of rows with question, answer and chunk_ids.
 
     records: first_record (the smallest key), copies (rows of the record), and its canonical words and references.
     membership: first_record, member_record for every row of a record with two or more rows.
-    Null texts read as empty ones; a row without any chunk reference is a record by references of none, like any other, and
-    callers that want none drop it. Ties cannot occur, keys being unique; other columns are ignored.
+    Null texts read as empty ones; rows without any chunk reference can be records like any other, or are left out with
+    cited_only. Keys are unique, so no ties occur; other columns are ignored; no rows give no records.
     """
-    rows = _rows(df, key)
-    survivors = rows.groupBy("question", "answer", "chunk_ids").agg(F.min("record").alias("record"), F.count("*").alias("n"), F.first("raw").alias("raw"))
-    canonical = survivors.select("record", "n", "raw", words(F.col("question")).alias("q"), field_words(F.coalesce("answer", F.lit(""))).alias("a"), canonical_refs(F.col("chunk_ids")).alias("refs"))
-    text = F.concat_ws("\n", "q", "a", F.array_join("refs", "\n"))
-    canonical = canonical.withColumn("form", fingerprint(text))
-    records = canonical.groupBy("q", "a", "refs").agg(F.min("record").alias("first_record"), F.sum("n").alias("copies"), F.first("form").alias("form"))
-    several = records.where("copies > 1").select("form", "first_record")
-    of_raw = canonical.select("form", "raw").join(several, "form").select("raw", "first_record")
-    membership = rows.select("raw", F.col("record").alias("member_record")).join(of_raw, "raw").select("first_record", "member_record")
-    return records.drop("form"), membership
+    rows = df.select(F.col(key).alias("record"), "question", "answer", "chunk_ids")
+    survivors = rows.groupBy("question", "answer", "chunk_ids").agg(F.min("record").alias("record"), F.count("*").alias("n"))
+    canonical = survivors.select("record", "n", _raw_print().alias("raw"), words(F.col("question")).alias("q"), field_words(F.coalesce("answer", F.lit(""))).alias("a"), canonical_refs(F.col("chunk_ids")).alias("refs"))
+    if cited_only:
+        canonical = canonical.where(F.size("refs") > 0)
+    form = fingerprint(F.concat_ws("\n", "q", "a", F.array_join("refs", "\n"))).alias("form")
+    records = canonical.groupBy("q", "a", "refs").agg(F.min("record").alias("first_record"), F.sum("n").alias("copies"))
+    several = records.where("copies > 1").select(form, "first_record")
+    of_raw = canonical.select(form, "raw").join(several, "form").select("raw", "first_record")
+    membership = rows.select(_raw_print().alias("raw"), F.col("record").alias("member_record")).join(of_raw, "raw").select("first_record", "member_record")
+    return records, membership
 
 
 def hidden_copies(df: DataFrame) -> DataFrame:
     """(first_record, copy_record) of the records with at least one chunk reference and two or more rows."""
-    cited = df.where(F.size(canonical_refs(F.col("chunk_ids"))) > 0)
-    _, membership = collapse_records(cited)
+    _, membership = collapse_records(df, cited_only=True)
     return membership.where("first_record <> member_record").select("first_record", F.col("member_record").alias("copy_record"))
