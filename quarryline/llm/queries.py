@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import load
-from . import canonical, collapse, groups, leaks
+from . import canonical, collapse, groups, leaks, linkage
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(texts, leaks.item_texts(load(spark, sf_dir, "eval_items")), ["corpus", "row_key"])
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.link_batches(load(spark, sf_dir, "eval_bank"), load(spark, sf_dir, "generated_eval_rows"))[0]
+
+
+def p2_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linkage.link_batches(load(spark, sf_dir, "eval_bank"), load(spark, sf_dir, "generated_eval_rows"))[1]
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse.hidden_copies(load(spark, sf_dir, "training_rows"))
 
@@ -35,6 +43,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
+        "p2_found": p2_found,
+        "p2_clusters": p2_clusters,
         "p3_found": p3_found,
         "p3_records": p3_records,
         "p4_found": p4_found,
