@@ -62,10 +62,10 @@ def _months(tokens: list[str]) -> Counter:
     return Counter(t for i, t in enumerate(tokens) if t in MONTHS or (t == "may" and near(i)))
 
 
-def capital_share(lexicon: np.ndarray, word: str) -> float:
-    """How often a word is written with a capital letter inside a sentence; a word never seen may be a name or a slip."""
+def capital_share(lexicon: np.ndarray, word: str, first: str = "") -> float:
+    """How often a word is written with a capital letter inside a sentence; one never seen there may be a name or a slip, unless it begins its text."""
     share = lexicon[zlib.crc32(word.encode()) % BUCKETS]
-    return 0.6 if np.isnan(share) else float(share)
+    return float(share) if not np.isnan(share) else 0.1 if word == first else 0.6
 
 
 def pair_features(a: str, b: str, lexicon: np.ndarray) -> list[float]:
@@ -84,8 +84,9 @@ def pair_features(a: str, b: str, lexicon: np.ndarray) -> list[float]:
             left.remove(t)
             right.remove(twin)
             slips += 1
-    names = [sum(capital_share(lexicon, t) for t in side) for side in (left, right)]
-    rest = [sum(1 - capital_share(lexicon, t) for t in side) for side in (left, right)]
+    shares = [[capital_share(lexicon, t, own[0]) for t in side] for side, own in ((left, x), (right, y))]
+    names = [sum(side) for side in shares]
+    rest = [len(side) - sum(side) for side in shares]
     pairs_x, pairs_y = Counter(zip(x, x[1:], strict=False)), Counter(zip(y, y[1:], strict=False))
     order = 2 * sum((pairs_x & pairs_y).values()) / max(1, len(x) + len(y) - 2)
     return [1.0, min(min(names), 3.0), min(abs(names[0] - names[1]), 3.0), float(numbers), float(months), 10 * min(rest) / n, 10 * abs(rest[0] - rest[1]) / n, 10 * slips / n, order]
