@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from .text import BLANK
 
 _REFERENCE = rf"(?s)^[{BLANK}]*(.*[^{BLANK}])[{BLANK}]*#[{BLANK}]*0*([0-9]+)[{BLANK}]*$"
+_PLAIN = r"^[!-\"$-~]+#(?:0|[1-9][0-9]*)$"
 
 
 def canonical_ref(c: Column) -> Column:
     """`doc#index` without blanks at the ends and around the `#` and without leading zeros; null where it is no reference."""
-    return F.when(c.rlike(_REFERENCE), F.regexp_replace(c, _REFERENCE, "$1#$2"))
+    return F.when(c.rlike(_PLAIN), c).when(c.rlike(_REFERENCE), F.regexp_replace(c, _REFERENCE, "$1#$2"))
 
 
 def canonical_refs(c: Column) -> Column:

@@ -14,10 +14,15 @@ def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"[{BLANK}]+", " "))
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def fold(c: Column) -> Column:
     """Case folding: lower case, with ß as ss, long s as s and final sigma as sigma."""
-    lowered = F.lower(F.when(F.contains(c, F.lit("ẞ")), F.regexp_replace(c, "ẞ", "ß")).otherwise(c))
-    return F.translate(F.when(F.contains(lowered, F.lit("ß")), F.regexp_replace(lowered, "ß", "ss")).otherwise(lowered), "ſς", "sσ")
+    lowered = F.lower(c)
+    other = F.translate(F.regexp_replace(F.lower(F.translate(c, "ẞ", "ß")), "ß", "ss"), "ſς", "sσ")
+    return F.when(is_ascii(c), lowered).otherwise(other)
 
 
 def normalized_question(c: Column) -> Column:
@@ -27,7 +32,9 @@ def normalized_question(c: Column) -> Column:
 
 def words(c: Column) -> Column:
     """The words (runs of letters and digits, case folded) with single spaces between; null reads as no words."""
-    return F.trim(F.regexp_replace(fold(F.coalesce(c, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+    c = F.coalesce(c, F.lit(""))
+    short = F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")
+    return F.trim(F.when(is_ascii(c), short).otherwise(F.regexp_replace(fold(c), r"[^\p{L}\p{N}]+", " ")))
 
 
 def tokens(c: Column) -> Column:
