@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import load
-from . import canonical, collapse, groups, leaks, linkage
+from . import canonical, collapse, defects, groups, leaks, linkage
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +36,11 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.row_groups(load(spark, sf_dir, "training_rows"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "training_rows")
+    return defects.broken_pairs(rows, defects.train(rows))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.look_alike_pairs(load(spark, sf_dir, "documents"))
 
@@ -48,6 +53,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_found": p3_found,
         "p3_records": p3_records,
         "p4_found": p4_found,
+        "p5_found": p5_found,
         "p10_found": p10_found,
     }
 
