@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import load
-from . import canonical, collapse, defects, groups, leaks, linkage
+from . import canonical, collapse, defects, groups, leaks, linkage, mixing, packing
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,22 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return defects.broken_pairs(rows, defects.train(rows))
 
 
+def p8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_all(load(spark, sf_dir, "documents"), load(spark, sf_dir, "pack_capacities"))
+
+
+def p8_room(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.room_used(p8_packing(spark, sf_dir), load(spark, sf_dir, "pack_capacities"))
+
+
+def p9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares_reached(p9_mixture(spark, sf_dir), load(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.look_alike_pairs(load(spark, sf_dir, "documents"))
 
@@ -54,6 +70,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_records": p3_records,
         "p4_found": p4_found,
         "p5_found": p5_found,
+        "p8_packing": p8_packing,
+        "p8_room": p8_room,
+        "p9_mixture": p9_mixture,
+        "p9_shares": p9_shares,
         "p10_found": p10_found,
     }
 
