@@ -24,6 +24,7 @@ from ..functions.text import words
 from ..operators.components import components
 from ..runtime import Cuts
 from .canonical import canonical_texts, fingerprint
+from .sampling import least_hashes
 
 SAMPLE_ROWS = 2000  # bound of the rows that the weights are learned from
 BUCKETS = 1 << 16  # of the capital letter lexicon
@@ -203,7 +204,7 @@ def capital_lexicon(texts: DataFrame) -> np.ndarray:
 
 def learn(accepted: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """The model: a lexicon of all accepted questions, weights from at most sample_rows of them, chosen by a hash of the id."""
-    sample = accepted.where("q <> ''").orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("q").collect()
+    sample = least_hashes(accepted.where("q <> ''").select("id", "q"), "id", sample_rows).select("q").collect()
     return fit([r[0] for r in sample], capital_lexicon(accepted))
 
 
