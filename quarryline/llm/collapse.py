@@ -40,6 +40,7 @@ def collapse_records(df: DataFrame, key: str = "record_number", cited_only: bool
     """
     rows = df.select(F.col(key).alias("record"), "question", "answer", "chunk_ids")
     survivors = rows.groupBy("question", "answer", "chunk_ids").agg(F.min("record").alias("record"), F.count("*").alias("n"))
+    survivors = survivors.where("n > 0 and record is not null")  # both uses below then read the same columns, hence one exchange
     canonical = survivors.select("record", "n", _raw_print().alias("raw"), words(F.col("question")).alias("q"), field_words(F.coalesce("answer", F.lit(""))).alias("a"), canonical_refs(F.col("chunk_ids")).alias("refs"))
     if cited_only:
         canonical = canonical.where(F.size("refs") > 0)
