@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Cuts
 from .codepoints import N_CODES, Expansion, byte_sizes, codepoints, row_slices, to_arrow
 
 # Letters that look like a Latin letter, Cyrillic and Greek and a few others, with that letter.
@@ -172,6 +173,7 @@ def look_alike_pairs(documents: DataFrame, key: str = "doc_id", text: str = "tex
     """
     forms = canonical_texts(documents.select(F.col(key).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull()), "text", "form")
     marked = forms.where("form <> ''").select("id", fingerprint(F.col("text")).alias("stored"), fingerprint(F.col("form")).alias("form"))
+    marked = Cuts(documents.sparkSession, "look-alike").cut(marked)  # read three times below
     shared = marked.groupBy("form").agg(F.min("stored").alias("one"), F.max("stored").alias("other")).where("one <> other").select("form")
     members = marked.join(shared, "form", "left_semi")
     a, b = (members.select("form", F.col("id").alias(f"doc_{x}"), F.col("stored").alias(f"stored_{x}")) for x in "ab")
