@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.chunks import canonical_refs
 from ..functions.text import words
+from ..runtime import Cuts
 from .canonical import fingerprint
 
 _LABEL = r"(?:^|[;|\n\r{,])[^\p{L}\p{N};|\n\r{,]*(\p{L}[\p{L}\p{N} _-]{0,40}?)[^\p{L}\p{N};|\n\r{,:]*:"
@@ -40,14 +41,14 @@ def collapse_records(df: DataFrame, key: str = "record_number", cited_only: bool
     """
     rows = df.select(F.col(key).alias("record"), "question", "answer", "chunk_ids")
     survivors = rows.groupBy("question", "answer", "chunk_ids").agg(F.min("record").alias("record"), F.count("*").alias("n"))
-    survivors = survivors.where("n > 0 and record is not null")  # both uses below then read the same columns, hence one exchange
     canonical = survivors.select("record", "n", _raw_print().alias("raw"), words(F.col("question")).alias("q"), field_words(F.coalesce("answer", F.lit(""))).alias("a"), canonical_refs(F.col("chunk_ids")).alias("refs"))
+    form = fingerprint(F.concat_ws("\n", "q", "a", F.array_join("refs", "\n"))).alias("form")
+    canonical = Cuts(df.sparkSession, "collapse").cut(canonical.select("*", form))  # read twice below
     if cited_only:
         canonical = canonical.where(F.size("refs") > 0)
-    form = fingerprint(F.concat_ws("\n", "q", "a", F.array_join("refs", "\n"))).alias("form")
     records = canonical.groupBy("q", "a", "refs").agg(F.min("record").alias("first_record"), F.sum("n").alias("copies"))
     several = records.where("copies > 1").select(form, "first_record")
-    of_raw = canonical.select(form, "raw").join(several, "form").select("raw", "first_record")
+    of_raw = canonical.select("form", "raw").join(several, "form").select("raw", "first_record")
     membership = rows.select(_raw_print().alias("raw"), F.col("record").alias("member_record")).join(of_raw, "raw").select("first_record", "member_record")
     return records, membership
 
