@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import docfigures
+from pyspark.sql import functions as F
+
+from ..functions import keys
+from ..operators import delta, docfigures, profile
 from ..runtime import load
 from ..sources import raw_records
+from ..sources.training import training
+from . import oracles
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +32,62 @@ def p7_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docfigures.doc_figures(load(spark, sf_dir, "training_rows"))
 
 
+def _rows(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFrame:
+    return training(load(spark, sf_dir, "training_rows"), with_keys)
+
+
+def _of_rows(operator: Callable[..., DataFrame], **options) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: operator(_rows(spark, sf_dir), **options)
+
+
+def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str]:
+    """(rows of the latest snapshot, ledger of the earlier ones, its name)."""
+    rows = _rows(spark, sf_dir, True)
+    latest = load(spark, sf_dir, "training_rows").agg(F.max("snapshot_id")).first()[0] or ""
+    return rows.where(F.col("snapshot_id") == latest), delta.current_keys(rows.where(F.col("snapshot_id") < latest)), latest
+
+
+def train_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rows(spark, sf_dir, True).select("record_number", "train_key", "doc_key")
+
+
+def eval_question_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "generated_eval_rows").select("row_id", keys.question_hash(F.col("question")).alias("question_hash"))
+
+
+def delta_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta.new_keys(*_snapshots(spark, sf_dir))
+
+
+def delta_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return delta.delta_summary(*_snapshots(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p6_found": p6_found, "p6_loaded": p6_loaded, "p7_found": p7_found, "p7_figures": p7_figures}
+    return {
+        "p6_found": p6_found,
+        "p6_loaded": p6_loaded,
+        "p7_found": p7_found,
+        "p7_figures": p7_figures,
+        "source_row_counts": _of_rows(profile.row_counts),
+        "source_unique_counts": _of_rows(profile.unique_counts),
+        "citations_per_row_summary": _of_rows(profile.citation_summaries),
+        "top_chunks": _of_rows(profile.top_chunks),
+        "top_docs": _of_rows(profile.top_docs),
+        "pipeline_distribution": _of_rows(profile.pipelines),
+        "duplicate_pipeline_distribution": _of_rows(profile.pipelines, duplicates_only=True),
+        "duplicate_of_distribution": _of_rows(profile.duplicate_targets),
+        "top_evidence_signatures": _of_rows(profile.top_signatures, signature="evidence_signature"),
+        "top_doc_sets": _of_rows(profile.top_signatures, signature="doc_set_signature"),
+        "question_reuse": _of_rows(profile.question_reuse),
+        "docids_chunk_mismatch": _of_rows(profile.undocumented_chunks),
+        "one_sided_docs": _of_rows(profile.one_sided_docs),
+        "train_keys": train_keys,
+        "eval_question_hashes": eval_question_hashes,
+        "delta_new_keys": delta_new_keys,
+        "delta_summary": delta_summary,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.ORACLES)
