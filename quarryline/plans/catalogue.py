@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys
-from ..operators import delta, docfigures, profile
+from ..operators import cluster, delta, docfigures, graph, profile
 from ..runtime import load
 from ..sources import raw_records
-from ..sources.training import training
-from . import oracles
+from ..sources.training import citations, training
+from . import oracles, oracles_clusters
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +63,48 @@ def delta_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delta.delta_summary(*_snapshots(spark, sf_dir))
 
 
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return citations(_rows(spark, sf_dir).where("not is_dup"))
+
+
+def cocitation_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.edges(_live(spark, sf_dir))
+
+
+def cocitation_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph.component_sizes(graph.chunk_components(_live(spark, sf_dir)))
+
+
+def flat_clusters(found: DataFrame) -> DataFrame:
+    """Clusters with arrays joined by bars."""
+    joined = {c: F.array_join(c, "|") for c in ("chunk_ids", "doc_ids", "source_pipelines")}
+    flat = found.withColumns(joined | {"split_from": F.coalesce("split_from", F.lit(""))})
+    return flat.select("cluster_id", *joined, "split_from", "row_count", "unique_question_count", "chunk_count", "doc_count", "edge_density")
+
+
+def _of_kind(kind: str) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        found, _ = cluster.clusters(_rows(spark, sf_dir, True))
+        return flat_clusters(found.where(F.col("cluster_kind") == kind))
+
+    return run
+
+
+def cluster_edge_density_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.clusters(_rows(spark, sf_dir, True), fixed_density=True)[0].select("cluster_id", "edge_density")
+
+
+def cluster_kind_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster.kind_summary(cluster.clusters(_rows(spark, sf_dir, True))[0])
+
+
+def focused_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters with a seed that some row marked as a duplicate also has."""
+    rows = _rows(spark, sf_dir, True)
+    found, seeds = cluster.clusters(rows)
+    return cluster.final_order(cluster.focused(found, seeds, rows.where("is_dup"))).select("cluster_id", "cluster_kind", "row_count", "chunk_count")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p6_found": p6_found,
@@ -86,8 +128,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "eval_question_hashes": eval_question_hashes,
         "delta_new_keys": delta_new_keys,
         "delta_summary": delta_summary,
+        "cocitation_edges": cocitation_edges,
+        "cocitation_components": cocitation_components,
+        "exact_evidence_clusters": _of_kind("exact_evidence_set"),
+        "doc_set_clusters": _of_kind("doc_set"),
+        "cocitation_clusters": _of_kind("co_citation"),
+        "doc_local_clusters": _of_kind("doc_local_seen_chunks"),
+        "multi_doc_bridge_clusters": _of_kind("multi_doc_bridge"),
+        "cluster_edge_density_fixed": cluster_edge_density_fixed,
+        "cluster_kind_summary": cluster_kind_summary,
+        "focused_clusters": focused_clusters,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(oracles.ORACLES)
+    return oracles.ORACLES | oracles_clusters.ORACLES
