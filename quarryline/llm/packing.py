@@ -100,7 +100,7 @@ def plan_patterns(size: np.ndarray, count: np.ndarray, capacity: int, rounds: in
         price = base * (1 + 0.25 * base) * (left > 0)
         pattern = best_pattern(size, price, left, capacity)
         held = pattern > 0
-        use(pattern, max(1, int((left[held] // pattern[held]).min()) // 2))
+        use(pattern, int((left[held] // pattern[held]).min()))
     return Plan(chosen, relaxed)
 
 
