@@ -13,7 +13,7 @@ from ..operators import cluster, delta, docfigures, graph, profile
 from ..runtime import load
 from ..sources import raw_records
 from ..sources.training import citations, training
-from . import oracles, oracles_clusters
+from . import oracles, oracles_clusters, oracles_units, units
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,8 +138,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cluster_edge_density_fixed": cluster_edge_density_fixed,
         "cluster_kind_summary": cluster_kind_summary,
         "focused_clusters": focused_clusters,
+        **units.queries(),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracles.ORACLES | oracles_clusters.ORACLES
+    return oracles.ORACLES | oracles_clusters.ORACLES | oracles_units.ORACLES
