@@ -40,6 +40,8 @@ def codepoints(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = pc.fill_null(column.cast(pa.large_string()), "")
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
+    if not len(column):
+        return np.empty(0, np.uint32), np.zeros(1, np.int64)
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     if offsets[-1] == offsets[0]:
         return np.empty(0, np.uint32), np.zeros(len(column) + 1, np.int64)

@@ -41,16 +41,16 @@ def exact_shingles(text: str | None, k: int) -> set[tuple[str, ...]]:
 
 
 def _signature_rows(df: DataFrame, carry: list[str], run_words: int, shingle_words: int) -> DataFrame:
-    """A row (carried columns, text, sig) for each signature of each text."""
-    schema = T.StructType([*df.select(*carry, "text").schema.fields, T.StructField("sig", T.LongType())])
+    """(carried columns, sig), a row for each signature of each text."""
+    schema = T.StructType([*df.select(*carry).schema.fields, T.StructField("sig", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.select([*carry, "text"])
-            for start, stop in row_slices(byte_sizes(batch.column("text")), BATCH_BYTES):
-                part = batch.slice(start, stop - start)
-                sig, row = signatures(part.column("text"), run_words, shingle_words)
-                yield pa.RecordBatch.from_arrays([*part.take(pa.array(row)).columns, pa.array(sig.view(np.int64))], names=[*part.schema.names, "sig"])
+            texts = batch.column(len(carry))
+            for start, stop in row_slices(byte_sizes(texts), BATCH_BYTES):
+                sig, row = signatures(texts.slice(start, stop - start), run_words, shingle_words)
+                rows = batch.select(carry).take(pa.array(row + start))
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sig.view(np.int64))], names=schema.names)
 
     return df.select(*carry, "text").mapInArrow(run, schema)
 
@@ -92,9 +92,11 @@ def _sent(texts: DataFrame, carry: list[str], items: list[tuple[int, str]], run_
 
 def _shuffled(texts: DataFrame, carry: list[str], items: DataFrame, run_words: int, shingle_words: int) -> DataFrame:
     """The search for an item index of any size: both sides meet on the signature."""
-    ours = _signature_rows(texts, carry, run_words, shingle_words)
-    theirs = _signature_rows(items, ["item_id"], run_words, shingle_words).select("item_id", F.col("text").alias("item_text"), "sig").distinct()
-    found = ours.join(theirs, "sig").drop("sig")
+    ours = _signature_rows(texts, carry, run_words, shingle_words).distinct()
+    theirs = _signature_rows(items, ["item_id"], run_words, shingle_words).distinct()
+    pairs = ours.join(theirs, "sig").select(*carry, "item_id").distinct()
+    # Signatures travel alone; a text is fetched once for each item it may hold.
+    found = pairs.join(texts.select(*carry, "text"), carry).join(items.select("item_id", F.col("text").alias("item_text")), "item_id").select(*carry, "item_id", "text", "item_text")
     schema = T.StructType([*texts.select(*carry).schema.fields, T.StructField("item_id", T.LongType())])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -63,14 +63,23 @@ def _months(tokens: list[str]) -> Counter:
     return Counter(t for i, t in enumerate(tokens) if t in MONTHS or (t == "may" and near(i)))
 
 
-def capital_share(lexicon: np.ndarray, word: str, first: str = "") -> float:
-    """How often a word is written with a capital letter inside a sentence; one never seen there may be a name or a slip, unless it begins its text."""
+def capital_share(lexicon: np.ndarray, word: str, written: dict[str, float] | None = None) -> float:
+    """How often a word is written with a capital letter inside a sentence; for one never seen there, how it is written here."""
     share = lexicon[zlib.crc32(word.encode()) % BUCKETS]
-    return float(share) if not np.isnan(share) else 0.1 if word == first else 0.6
+    return float(share) if not np.isnan(share) else (written or {}).get(word, 0.6)
+
+
+def _written(tokens: list[str]) -> dict[str, float]:
+    """word -> how name-like it is written in a text whose words are mostly in lower case; the first word tells nothing."""
+    plain = sum(t.islower() for t in tokens if t.isalpha()) > 0.5 * sum(t.isalpha() for t in tokens)
+    shares = {t.casefold(): 0.9 if t[:1].isupper() else 0.1 for t in tokens[1:]} if plain else {}
+    return shares | ({tokens[0].casefold(): 0.1} if tokens and tokens[0].casefold() not in shares else {})
 
 
 def pair_features(a: str, b: str, lexicon: np.ndarray) -> list[float]:
-    x, y = _WORD.findall(a.casefold()), _WORD.findall(b.casefold())
+    as_x, as_y = _WORD.findall(a), _WORD.findall(b)
+    x, y = [t.casefold() for t in as_x], [t.casefold() for t in as_y]
+    written = [_written(as_x), _written(as_y)]
     n = max(1, len(x) + len(y))
     only_x, only_y = Counter(x) - Counter(y), Counter(y) - Counter(x)
     mx, my = _months(x), _months(y)
@@ -79,13 +88,13 @@ def pair_features(a: str, b: str, lexicon: np.ndarray) -> list[float]:
     plain = lambda side: [t for t in side.elements() if not any(ch.isdigit() for ch in t)]
     left, right, slips = plain(only_x), plain(only_y), 0
     for t in list(left):
-        name = capital_share(lexicon, t) > 0.7
+        name = capital_share(lexicon, t, written[0]) > 0.7
         twin = next((u for u in right if _close(t, u, 1 if name or len(t) < 8 else 2)), None)
         if twin is not None:
             left.remove(t)
             right.remove(twin)
             slips += 1
-    shares = [[capital_share(lexicon, t, own[0]) for t in side] for side, own in ((left, x), (right, y))]
+    shares = [[capital_share(lexicon, t, own) for t in side] for side, own in zip((left, right), written, strict=True)]
     names = [sum(side) for side in shares]
     rest = [len(side) - sum(side) for side in shares]
     pairs_x, pairs_y = Counter(zip(x, x[1:], strict=False)), Counter(zip(y, y[1:], strict=False))

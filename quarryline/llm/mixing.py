@@ -81,6 +81,8 @@ def quotas(share: np.ndarray, repeats: np.ndarray, blocks: np.ndarray) -> np.nda
 def shard_counts(quota: np.ndarray, slots: int, seed: int) -> np.ndarray:
     """(shard, source) counts: a multinomial draw for each shard, repaired by single moves until every source meets its quota."""
     total = int(quota.sum())
+    if not total:
+        return np.zeros((1, len(quota)), np.int64)
     shards = max(1, -(-total // slots))
     sizes = np.full(shards, slots)
     sizes[-1] = total - slots * (shards - 1)

@@ -21,16 +21,19 @@ from ..runtime import Cuts
 from .tokens import VOCABULARY, token_counts
 
 GRID = 0.01  # relative width of a length class; the room lost to it is at most that share of an item
+HEAVY = 0.002  # share of all items from which a length is a class bound
 CELL_ITEMS = 200_000  # items that are ranked in one task
 
 
-def class_bounds(capacity: int, grid: float = GRID) -> np.ndarray:
-    """Upper bounds of the length classes: every length up to 1 / grid, then steps of that share; the last is the capacity."""
-    bounds, at = [], 1.0
-    while at < capacity:
-        bounds.append(int(at))
-        at = max(at + 1, at * (1 + grid))
-    return np.array(sorted({*bounds, capacity} - {0}), np.int64)
+def class_bounds(lengths: np.ndarray, counts: np.ndarray, grid: float = GRID, heavy: float = HEAVY) -> np.ndarray:
+    """Upper bounds of the length classes, each a length that occurs. A class spans at most the share `grid` of its bound; a
+    length that holds the share `heavy` of all items bounds its own, so that what is common is never rounded."""
+    order = np.argsort(-lengths)
+    bounds: list[int] = []
+    for length, n in zip(lengths[order], counts[order], strict=True):
+        if not bounds or length < bounds[-1] * (1 - grid) or n >= heavy * counts.sum():
+            bounds.append(int(length))
+    return np.array(bounds[::-1], np.int64)
 
 
 def best_pattern(size: np.ndarray, price: np.ndarray, stock: np.ndarray, capacity: int) -> np.ndarray:
@@ -135,22 +138,19 @@ def pack(counts: DataFrame, capacity: int, kind: str, cuts: Cuts) -> DataFrame:
     A text longer than the capacity is cut into full pieces and the rest. Texts without tokens need no room and are listed
     in container 0. Equal lengths are told apart by doc_id; no texts give no rows.
     """
-    bounds = class_bounds(capacity)
-    bound_list = F.array(*[F.lit(int(b)) for b in bounds])
     whole = F.floor(F.col("tokens") / F.lit(capacity)).cast("long")
     rest = F.col("tokens") % F.lit(capacity)
     pieces = F.concat(F.transform(F.sequence(F.lit(1).cast("long"), whole), lambda i: F.lit(capacity).cast("long")), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))
     pieces = F.when(whole > 0, pieces).otherwise(F.array(rest))
     items = counts.where("tokens > 0").select("doc_id", F.posexplode(pieces).alias("piece_no", "tokens"))
     histogram = items.groupBy("tokens").agg(F.count("*").alias("n")).collect()  # at most `capacity` rows
-    size, count = bounds, np.zeros(len(bounds), np.int64)
-    for length, n in histogram:
-        count[int(np.searchsorted(bounds, length))] += n
-    plan = plan_patterns(size, count, capacity)
+    lengths, numbers = (np.array([r[i] for r in histogram], np.int64) for i in (0, 1))
+    bounds = class_bounds(lengths, numbers)
+    count = np.bincount(np.searchsorted(bounds, lengths), weights=numbers, minlength=len(bounds)).astype(np.int64)
+    plan = plan_patterns(bounds, count, capacity)
     keys, first, per, _ = _slots(plan)
     sent = counts.sparkSession.sparkContext.broadcast((bounds, keys, first, per))
     schema = T.StructType([T.StructField("container_kind", T.StringType()), T.StructField("container_id", T.LongType()), counts.schema["doc_id"], T.StructField("piece_no", T.IntegerType()), T.StructField("tokens", T.LongType())])
-    del bound_list
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,7 +173,7 @@ def pack(counts: DataFrame, capacity: int, kind: str, cuts: Cuts) -> DataFrame:
 
 
 def pack_all(documents: DataFrame, capacities: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """The packing of documents (doc_id, text) for each row (container_kind, capacity_tokens) of a fixed table. Null or non-positive capacities are left out."""
+    """The packing of documents (doc_id, text) for each row (container_kind, capacity_tokens) of a fixed table. Null and non-positive capacities are left out; without any the result is empty."""
     cuts = Cuts(documents.sparkSession, "packing")
     counts = cuts.cut(token_counts(documents.select("doc_id", "text"), vocabulary=vocabulary))
     out = None
@@ -181,7 +181,7 @@ def pack_all(documents: DataFrame, capacities: DataFrame, vocabulary: str = VOCA
         packed = pack(counts, int(capacity), kind, cuts)
         out = packed if out is None else out.unionByName(packed)
     if out is None:
-        raise ValueError("there is no capacity to pack to")
+        return counts.limit(0).select(F.lit("").alias("container_kind"), F.lit(0).cast("long").alias("container_id"), "doc_id", F.lit(0).alias("piece_no"), "tokens")
     return out
 
 
