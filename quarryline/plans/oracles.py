@@ -126,4 +126,11 @@ ORACLES = {
      fresh as (select train_key, arg_max(doc_key, record_number) doc_key from cur where train_key not in (select train_key from led) group by train_key)
      select (select count(*) from cur) row_count, (select count(distinct train_key) from cur) unique_train_keys, (select count(distinct train_key) from led) known_train_keys,
       (select count(*) from fresh) new_train_keys, (select count(distinct doc_key) from fresh where doc_key not in (select doc_key from led)) new_doc_keys""",
+    "p7_found": f"""select d doc_id from (select distinct record_number, d from (select record_number, {strip("x")} d from (select record_number, unnest(doc_ids) x from training_rows)) where d <> '')
+     group by d having count(*) >= 0.02 * (select count(*) from training_rows)""",
+    "p7_figures": f"""with {TRAINING},
+     held as (select t.record_number, t.question, coalesce(r.answer, '') answer, evidence_signature, unnest(doc_set_signature) doc_id from training t join training_rows r using (record_number)),
+     figures as (select doc_id, count(*) as rows, count(distinct {norm_question("question")}) distinct_questions, quantile_disc(length(answer), 0.5) p from held group by doc_id),
+     chunked as (select doc_id, count(distinct c) n from (select doc_id, unnest(evidence_signature) c from held) group by doc_id)
+     select f.doc_id, f.rows, distinct_questions, coalesce(n, 0) distinct_chunks, p answer_chars_p50 from figures f left join chunked c on c.doc_id = f.doc_id""",
 }
