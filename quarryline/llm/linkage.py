@@ -268,30 +268,34 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
     keys = [cuts.cut(_keys(members[0]))]
     roots, found = None, []
     incoming = cuts.cut(_prepared(batches, "row_id", ["batch_no"]))
-    union = lambda frames: frames[0] if len(frames) == 1 else frames[0].unionByName(union(frames[1:]))
     for number in numbers:
         rows = incoming.where(F.col("batch_no") == number).withColumn("same", fingerprint(F.concat_ws("\n", "form", F.array_join("refs", "\n"))))
         mine = cuts.cut(rows.groupBy("form", "refs").agg(F.min(alike).alias("x"), F.first("same").alias("same")).select("x.*", "form", "refs", "same"))
         own_keys = cuts.cut(_keys(mine))
-        history = union(members)
-        hits = cuts.cut(union(keys).withColumnRenamed("id", "member").join(_sized(own_keys, own_keys.count()), "key").select("id", "member").distinct())
+        history = _together(members)
+        hits = cuts.cut(_together(keys).withColumnRenamed("id", "member").join(_sized(own_keys, own_keys.count()), "key").select("id", "member").distinct())
         n_hits = hits.count()
         texts = history.select(F.col("id").alias("member"), F.col("q").alias("member_q"), "kept")
         pairs = texts.join(_sized(hits, n_hits), "member").join(mine.select("id", "q"), "id")
         same = _scored(pairs, model).join(texts.select("member", "kept"), "member").select("id", F.explode("kept").alias("kept_id")).distinct()
         held = history.select(F.col("id").alias("kept_id"), F.col("refs").alias("kept_refs"))
         tied = cuts.cut(same.join(held, "kept_id").join(mine.select("id", "refs", "same"), "id").where(F.arrays_overlap("refs", "kept_refs")).select("kept_id", "id", "same"))
-        found.append(rows.select(F.col("id").alias("dup_id"), "same").join(tied.select("kept_id", "same"), "same").select("kept_id", "dup_id"))
+        found.append(cuts.cut(rows.select(F.col("id").alias("dup_id"), "same").join(tied.select("kept_id", "same"), "same").select("kept_id", "dup_id").distinct()))
         kept_of = tied.groupBy("id").agg(F.array_sort(F.collect_set("kept_id")).alias("of"))
         fresh = mine.join(kept_of, "id", "left").select("id", F.coalesce("of", F.array("id")).alias("kept"), "q", "form", "refs")
         members.append(cuts.cut(fresh))
         keys.append(own_keys)
         roots = _merged(cuts, roots, tied.select(F.col("kept_id").alias("a"), F.col("id").alias("b")))
-    pairs = union(found).distinct() if found else spark.createDataFrame([], "kept_id long, dup_id long")
+    pairs = _together(found) if found else spark.createDataFrame([], "kept_id long, dup_id long")
     clusters = roots.withColumnsRenamed({"node": "id", "component": "cluster"}) if roots is not None else spark.createDataFrame([], "id long, cluster long")
     return pairs, clusters
 
 
+def _together(parts: list[DataFrame]) -> DataFrame:
+    """Persisted parts of one table as one scan, however many batches there were."""
+    return parts[0].sparkSession.read.schema(parts[0].schema).parquet(*[p._cut_path for p in parts])
+
+
 def _merged(cuts: Cuts, roots: DataFrame | None, links: DataFrame) -> DataFrame:
     """The representative of each clustered row after new links: only clusters that a link touches change."""
     if roots is None:
