@@ -88,10 +88,10 @@ def gap_groups(cited: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
     return numbered.select(F.to_json(F.struct("doc_id", "_g")).alias("group"), "chunk_id", "doc_id", "chunk_index")
 
 
-def _assembled(built: Built, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _assembled(cuts: Cuts, built: Built, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clusters, members, seeds) of one kind, keyed by (group, split)."""
     key = ["group", "split"]
-    members = built.members.select(*key, "chunk_id", "group_size").persist()
+    members = cuts.cut(built.members.select(*key, "chunk_id", "group_size"))
     listed = F.array_sort(F.collect_list(F.struct(ref_doc(F.col("chunk_id")).alias("doc_id"), ref_index(F.col("chunk_id")).alias("chunk_index"), "chunk_id"))).alias("c")
     sets = members.groupBy(*key).agg(listed, F.max("group_size").alias("group_size"))
     sets = sets.select(*key, F.transform("c", lambda x: x["chunk_id"]).alias("chunk_ids"), F.array_sort(F.array_distinct(F.transform("c", lambda x: x["doc_id"]))).alias("doc_ids"), "group_size")
@@ -99,7 +99,7 @@ def _assembled(built: Built, rows: DataFrame) -> tuple[DataFrame, DataFrame, Dat
         sets = sets.where(F.size("chunk_ids") > 1)
     if built.kind == "multi_doc_bridge":
         sets = sets.where(F.size("doc_ids") > 1)
-    touched = built.rows.join(rows.select("record_number", "train_key", "pipeline", "question"), "record_number").persist()
+    touched = cuts.cut(built.rows.join(rows.select("record_number", "train_key", "pipeline", "question"), "record_number"))
     seeds = touched.select(*key, "train_key").distinct()
     counts = seeds.groupBy(*key).agg(F.count("*").alias("row_count"))
     questions = touched.where("question <> ''").select(*key, normalized_question(F.col("question")).alias("q")).distinct().groupBy(*key).agg(F.count("*").alias("unique_question_count"))
@@ -125,16 +125,16 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
     order, ties resolved by signature; row_count counts distinct train keys. Kinds that are left out consume no numbers.
     """
     cuts = Cuts(rows.sparkSession, "clusters")
-    live = rows.where("not is_dup").persist()
-    weighted = graph.edges(citations(live)).persist()
+    live = cuts.cut(rows.where("not is_dup"))
+    weighted = cuts.cut(graph.edges(citations(live)))
     found, tied = None, None
     for at, kind in enumerate(KINDS):
         if kind not in kinds:
             continue
         built = build(live, kind, max_chunks=max_chunks, max_gap=max_gap)
-        out, _, seeds = _assembled(built, live)
-        per_group = built.members.select("group", "split").distinct().groupBy("group").agg(F.count("*").alias("splits"))
-        sized = built.members.select("group", "chunk_id").distinct().groupBy("group").agg(F.count("*").alias("group_chunks")) if kind == "co_citation" else None
+        out, members, seeds = _assembled(cuts, built, live)
+        per_group = members.select("group", "split").distinct().groupBy("group").agg(F.count("*").alias("splits"))
+        sized = members.select("group", "chunk_id").distinct().groupBy("group").agg(F.count("*").alias("group_chunks")) if kind == "co_citation" else None
         out = out.join(per_group, "group")
         if sized is not None:
             # A component is ordered by size, then by its least member, which no other component has.
@@ -163,6 +163,7 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
             "unique_question_count",
         )
         keyed = seeds.select(F.lit(kind).alias("cluster_kind"), "group", "split", "train_key")
+        part = cuts.cut(part)  # plans stay small, and the sort below reads a table
         found = part if found is None else found.unionByName(part)
         tied = keyed if tied is None else tied.unionByName(keyed)
     numbered = with_ordinal(found, [F.col(c) for c in ("kind_at", "by_name", "by_size", "by_member", "by_signature", "split")])

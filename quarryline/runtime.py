@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -21,7 +23,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not named:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"{CHECKPOINT_KEY} must name a folder that all executors share")
-        named = "file://" + tempfile.mkdtemp(prefix="quarryline-")
+        folder = tempfile.mkdtemp(prefix="quarryline-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        named = "file://" + folder
         spark.conf.set(CHECKPOINT_KEY, named)
     return named.rstrip("/")
 
@@ -35,14 +39,12 @@ class Cuts:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.name = spark, name
-        self.paths: dict[int, str] = {}
 
     def cut(self, df: DataFrame) -> DataFrame:
         """Writes df and reads it back."""
         path = _path_of(self.spark, self.name)
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
         back._cut_path = path
         return back
 
@@ -53,6 +55,11 @@ class Cuts:
             drop_path(self.spark, path)
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes all tables that this application cut, once no result that reads them is needed."""
+    drop_path(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)

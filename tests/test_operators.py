@@ -277,3 +277,12 @@ def test_json_scans(spark, tmp_path):
     schema = ty.StructType([ty.StructField("a", ty.LongType())])
     assert T.read_jsonl(spark, str(tmp_path / "none"), schema).count() == 0
     assert T.column_conformance(["question", "x"])["extra"] == ["x"]
+
+
+def test_chunk_metadata_by_index(spark):
+    schema = "m array<struct<chunk_index:bigint,page:string>>"
+    df = spark.createDataFrame([([(None, "a"), (5, "b"), (None, "c"), (5, "d")],), ([],)], schema)
+    got = [r.x for r in df.select(hydrate.chunk_index_of(F.col("m")).alias("x")).collect()]
+    assert {k: v.split('"')[-2] for k, v in got[0].items()} == {0: "a", 5: "d", 2: "c"} and got[1] == {}
+    asked = spark.createDataFrame([("d#2",), ("d#10",), ("d#2",), ("e#1",)], "chunk_id string")
+    assert {r.doc_id: r.chunk_indexes for r in hydrate.requested_docs(asked).collect()} == {"d": [2, 10], "e": [1]}
