@@ -248,7 +248,8 @@ def _sized(df: DataFrame, n: int) -> DataFrame:
 
 
 def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(pairs, clusters): pairs (kept_id, dup_id), clusters (id, cluster) for every row that belongs to one of two or more.
+    """(pairs, clusters): pairs (kept_id, dup_id), clusters (id, cluster) for every row that
+    belongs to one of two or more, cluster being the smallest kept row of it.
 
     bank: eval_id, question, chunk_ids; batches: row_id, batch_no, question, chunk_ids. Batches are taken in order of batch_no; a
     row repeats an earlier row if the model says so and both hold a chunk reference. A kept row repeats none; what repeats a
@@ -297,14 +298,25 @@ def _together(parts: list[DataFrame]) -> DataFrame:
 
 
 def _merged(cuts: Cuts, roots: DataFrame | None, links: DataFrame) -> DataFrame:
-    """The representative of each clustered row after new links: only clusters that a link touches change."""
+    """(node, component) after links from kept rows (a) to their repeats (b): the representative of each clustered row.
+
+    A repeat takes the representative of its kept row. Only clusters that one repeat ties to others are merged, by components
+    of their representatives alone; the smallest of those stands for all.
+    """
     if roots is None:
-        return cuts.cut(components(links))
-    up = lambda c: roots.select(F.col("node").alias(c), F.col("component").alias(f"{c}_up"))
-    ends = links.join(up("a"), "a", "left").join(up("b"), "b", "left")
-    lifted = ends.select(F.coalesce("a_up", "a").alias("a"), F.coalesce("b_up", "b").alias("b"))
-    changed = cuts.cut(components(lifted))
-    moved = changed.select(F.col("node").alias("component"), F.col("component").alias("now"))
-    old = roots.join(moved, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
-    new = changed.join(roots.select("node"), "node", "left_anti").select("node", "component")
-    return cuts.cut(old.unionByName(new))
+        lifted = links.select(F.col("a").alias("root"), F.col("b").alias("node"))
+    else:
+        up = roots.select(F.col("node").alias("a"), "component")
+        lifted = links.join(up, "a", "left").select(F.coalesce("component", "a").alias("root"), F.col("b").alias("node"))
+    lifted = cuts.cut(lifted.distinct())
+    ends = lifted.groupBy("node").agg(F.min("root").alias("component"), F.max("root").alias("most"))
+    own = lifted.select(F.col("root").alias("node"), F.col("root").alias("component")).distinct()
+    if roots is not None:
+        own = roots.unionByName(own.join(roots.select("node"), "node", "left_anti"))
+    every = own.unionByName(ends.select("node", "component"))
+    tied = ends.where("component <> most")
+    if not tied.isEmpty():
+        changed = components(lifted.join(tied.select("node", F.col("component").alias("a")), "node").select("a", F.col("root").alias("b")))
+        moved = changed.select(F.col("node").alias("component"), F.col("component").alias("now"))
+        every = every.join(moved, "component", "left").select("node", F.coalesce("now", "component").alias("component"))
+    return cuts.cut(every)

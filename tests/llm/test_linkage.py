@@ -78,3 +78,16 @@ def test_weights_hold_on_pairs_kept_out(bank_rows):
 def test_close():
     assert linkage._close("annexure", "anenxure", 1) and linkage._close("letter", "lettr", 1)
     assert not linkage._close("may", "day", 1) and not linkage._close("window", "widnwo", 1) and linkage._close("window", "widnwo", 2)
+
+
+def test_only_tied_clusters_merge(spark):
+    from quarryline.runtime import Cuts
+
+    cuts = Cuts(spark, "t")
+    link = lambda *rows: spark.createDataFrame(rows, "a long, b long")
+    named = lambda df: {r.node: r.component for r in df.collect()}
+    roots = linkage._merged(cuts, None, link((1, 11), (2, 12), (3, 13)))
+    assert named(roots) == {1: 1, 11: 1, 2: 2, 12: 2, 3: 3, 13: 3}
+    roots = linkage._merged(cuts, roots, link((2, 21), (3, 21), (4, 22), (1, 23)))
+    assert named(roots) == {1: 1, 11: 1, 23: 1, 2: 2, 12: 2, 3: 2, 13: 2, 21: 2, 4: 4, 22: 4}
+    assert named(linkage._merged(cuts, roots, link().limit(0))) == named(roots)
