@@ -229,6 +229,17 @@ def _keys(df: DataFrame) -> DataFrame:
     return df.select("id", F.explode("refs").alias("ref"), numbers.alias("n")).select(F.xxhash64("ref", "n").alias("key"), "id").distinct()
 
 
+def _same(batch: Column) -> Column:
+    """Equal for the rows of one batch, or of the bank, with the same words and references."""
+    return fingerprint(F.concat_ws("\n", batch, "form", F.array_join("refs", "\n")))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """(stand, id) for every row, the stand-in itself among them, of those (id, same) that stand for each other."""
+    several = rows.groupBy("same").agg(F.min("id").alias("stand"), F.max("id").alias("most")).where("stand <> most")
+    return rows.join(several.select("same", "stand"), "same").select("stand", "id")
+
+
 def _scored(pairs: DataFrame, model: Model) -> DataFrame:
     """The pairs (id, member, q, member_q) that ask the same question."""
     sent = pairs.sparkSession.sparkContext.broadcast(model)
@@ -249,7 +260,8 @@ def _sized(df: DataFrame, n: int) -> DataFrame:
 
 def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[DataFrame, DataFrame]:
     """(pairs, clusters): pairs (kept_id, dup_id), clusters (id, cluster) for every row that
-    belongs to one of two or more, cluster being the smallest kept row of it.
+    belongs to one of two or more, cluster being the smallest kept row of it. Copies within a batch or the bank are of one
+    cluster, whether or not another row repeats them.
 
     bank: eval_id, question, chunk_ids; batches: row_id, batch_no, question, chunk_ids. Batches are taken in order of batch_no; a
     row repeats an earlier row if the model says so and both hold a chunk reference. A kept row repeats none; what repeats a
@@ -259,7 +271,7 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
     """
     spark = bank.sparkSession
     cuts = Cuts(spark, "linkage")
-    first = cuts.cut(_prepared(bank, "eval_id", []))
+    first = cuts.cut(_prepared(bank, "eval_id", []).withColumn("same", _same(F.lit("bank"))))
     model = learn(first, sample_rows)
     numbers = [r[0] for r in batches.select("batch_no").where("batch_no is not null").distinct().orderBy("batch_no").collect()]
     # One row stands for all of equal words and references.
@@ -268,9 +280,11 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
     members = [cuts.cut(stand.select("id", F.array("id").alias("kept"), "q", "form", "refs"))]
     keys = [cuts.cut(_keys(members[0]))]
     roots, found = None, []
-    incoming = cuts.cut(_prepared(batches, "row_id", ["batch_no"]))
+    numbered = _prepared(batches, "row_id", ["batch_no"]).where("batch_no is not null")
+    incoming = cuts.cut(numbered.withColumn("same", _same(F.col("batch_no").cast("string"))))
+    copies = cuts.cut(_copies(first.select("id", "same").unionByName(incoming.select("id", "same"))))
     for number in numbers:
-        rows = incoming.where(F.col("batch_no") == number).withColumn("same", fingerprint(F.concat_ws("\n", "form", F.array_join("refs", "\n"))))
+        rows = incoming.where(F.col("batch_no") == number)
         mine = cuts.cut(rows.groupBy("form", "refs").agg(F.min(alike).alias("x"), F.first("same").alias("same")).select("x.*", "form", "refs", "same"))
         own_keys = cuts.cut(_keys(mine))
         history = _together(members)
@@ -288,8 +302,14 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
         keys.append(own_keys)
         roots = _merged(cuts, roots, tied.select(F.col("kept_id").alias("a"), F.col("id").alias("b")))
     pairs = _together(found) if found else spark.createDataFrame([], "kept_id long, dup_id long")
-    clusters = roots.withColumnsRenamed({"node": "id", "component": "cluster"}) if roots is not None else spark.createDataFrame([], "id long, cluster long")
-    return pairs, clusters
+    return pairs, _with_copies(roots if roots is not None else spark.createDataFrame([], "node long, component long"), copies)
+
+
+def _with_copies(roots: DataFrame, copies: DataFrame) -> DataFrame:
+    """(id, cluster): each copy (stand, id) is in the cluster of its stand-in; copies that nothing ties make one of their own."""
+    every = roots.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+    up = roots.select(F.col("node").alias("stand"), "component")
+    return every.unionByName(copies.join(up, "stand", "left").select("id", F.coalesce("component", "stand").alias("cluster"))).distinct()
 
 
 def _together(parts: list[DataFrame]) -> DataFrame:

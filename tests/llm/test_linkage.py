@@ -62,6 +62,19 @@ def test_hot_question_and_empty_tables(spark, bank_rows):
     assert linkage.link_batches(bank.limit(0), rows.where("row_id < 1002"))[0].collect()[0].dup_id == 1001
 
 
+def test_every_copy_is_in_a_cluster(spark, bank_rows):
+    q, other, alone = bank_rows[5][1], bank_rows[6][1], bank_rows[7][1]
+    bank = spark.createDataFrame([(*r, 0) for r in [*bank_rows, (501, q.upper(), ["d#6", "hot#1"]), (502, alone, ["d#8", "hot#1"])]], BANK)
+    batches = [(1000 + i, 1 + i % 2, q, ["d#6"], 0) for i in range(120)]  # a repeated question, in both batches
+    batches += [(1200, 1, other, ["y#1"], 0), (1201, 1, other + "?", [" y # 01"], 0)]  # copies that repeat nothing
+    batches += [(1202, 2, other, ["y#2"], 0), (1203, 1, other, ["y#2"], 0)]  # a repeat in the second batch
+    rows = spark.createDataFrame(batches, ROWS).repartition(3)
+    named = sorted(tuple(r) for r in linkage.link_batches(bank, rows)[1].collect())
+    hot = [(6, 6), (501, 6), *((1000 + i, 6) for i in range(120))]
+    assert named == sorted([*hot, (8, 8), (502, 8), (1200, 1200), (1201, 1200), (1202, 1203), (1203, 1203)])
+    assert sorted(tuple(r) for r in linkage.link_batches(bank, rows.limit(0))[1].collect()) == [(6, 6), (8, 8), (501, 6), (502, 8)]
+
+
 def test_weights_hold_on_pairs_kept_out(bank_rows):
     texts = [r[1] for r in bank_rows]
     lexicon = np.full(linkage.BUCKETS, np.nan)
