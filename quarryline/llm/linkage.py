@@ -266,8 +266,8 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
     bank: eval_id, question, chunk_ids; batches: row_id, batch_no, question, chunk_ids. Batches are taken in order of batch_no; a
     row repeats an earlier row if the model says so and both hold a chunk reference. A kept row repeats none; what repeats a
     repeat is held against its kept rows. Rows without references or words repeat nothing. Rows of one batch (or of the bank)
-    with the same words and references stand for each other in the key table: the smallest id is the kept one of them, and
-    all of a later batch are reported. Empty tables give no pairs; extra columns are ignored.
+    with the same words and references stand for each other in the key table, by the smallest id; the pairs hold each of them,
+    both as kept rows and as repeats, so a question held k times and repeated m times gives k * m pairs. Empty tables give no pairs; extra columns are ignored.
     """
     spark = bank.sparkSession
     cuts = Cuts(spark, "linkage")
@@ -302,6 +302,8 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
         keys.append(own_keys)
         roots = _merged(cuts, roots, tied.select(F.col("kept_id").alias("a"), F.col("id").alias("b")))
     pairs = _together(found) if found else spark.createDataFrame([], "kept_id long, dup_id long")
+    # Every copy of a kept row is a kept row too.
+    pairs = pairs.join(copies.withColumnRenamed("stand", "kept_id"), "kept_id", "left").select(F.coalesce("id", "kept_id").alias("kept_id"), "dup_id")
     return pairs, _with_copies(roots if roots is not None else spark.createDataFrame([], "node long, component long"), copies)
 
 

@@ -75,6 +75,15 @@ def test_every_copy_is_in_a_cluster(spark, bank_rows):
     assert sorted(tuple(r) for r in linkage.link_batches(bank, rows.limit(0))[1].collect()) == [(6, 6), (8, 8), (501, 6), (502, 8)]
 
 
+def test_every_copy_of_a_kept_row_is_kept(spark, bank_rows):
+    q, other = bank_rows[5][1], bank_rows[6][1]
+    bank = spark.createDataFrame([(*r, 0) for r in [*bank_rows, (501, q.upper() + " ", ["d#6", "hot#1"])]], BANK)
+    batches = [(1001, 1, q, ["d#6"]), (1002, 1, other, ["y#1"]), (1003, 1, other + "?", [" y # 01"]), (2001, 2, q, ["d#6"]), (2002, 2, other, ["y#1"]), (2003, 2, other.lower(), ["y#1"])]
+    pairs, _ = linkage.link_batches(bank, spark.createDataFrame([(*r, 0) for r in batches], ROWS).repartition(3))
+    of_bank = [(kept, dup) for kept in (6, 501) for dup in (1001, 2001)]
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted(of_bank + [(kept, dup) for kept in (1002, 1003) for dup in (2002, 2003)])
+
+
 def test_weights_hold_on_pairs_kept_out(bank_rows):
     texts = [r[1] for r in bank_rows]
     lexicon = np.full(linkage.BUCKETS, np.nan)
