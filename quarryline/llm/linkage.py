@@ -263,28 +263,28 @@ def link_batches(bank: DataFrame, batches: DataFrame, sample_rows: int = SAMPLE_
     belongs to one of two or more, cluster being the smallest kept row of it. Copies within a batch or the bank are of one
     cluster, whether or not another row repeats them.
 
-    bank: eval_id, question, chunk_ids; batches: row_id, batch_no, question, chunk_ids. Batches are taken in order of batch_no; a
-    row repeats an earlier row if the model says so and both hold a chunk reference. A kept row repeats none; what repeats a
-    repeat is held against its kept rows. Rows without references or words repeat nothing. Rows of one batch (or of the bank)
-    with the same words and references stand for each other in the key table, by the smallest id; the pairs hold each of them,
-    both as kept rows and as repeats, so a question held k times and repeated m times gives k * m pairs. Empty tables give no pairs; extra columns are ignored.
+    bank: eval_id, question, chunk_ids; batches: row_id, batch_no, question, chunk_ids. Batches are taken in order of batch_no;
+    rows without one are the last batch. A row repeats an earlier row if the model says so and both hold a chunk reference. A kept
+    row repeats none; what repeats a repeat is held against its kept rows. Rows without references or words repeat nothing. Rows of
+    one batch (or of the bank) with the same words and references stand for each other in the key table, by the smallest id; the
+    pairs hold each of them, both as kept rows and as repeats, so a question held k times and repeated m times gives k * m pairs.
+    Empty tables give no pairs; extra columns are ignored.
     """
     spark = bank.sparkSession
     cuts = Cuts(spark, "linkage")
     first = cuts.cut(_prepared(bank, "eval_id", []).withColumn("same", _same(F.lit("bank"))))
     model = learn(first, sample_rows)
-    numbers = [r[0] for r in batches.select("batch_no").where("batch_no is not null").distinct().orderBy("batch_no").collect()]
+    numbers = [r[0] for r in batches.select("batch_no").distinct().orderBy(F.asc_nulls_last("batch_no")).collect()]
     # One row stands for all of equal words and references.
     alike = F.struct("id", "q")
     stand = first.groupBy("form", "refs").agg(F.min(alike).alias("x")).select("x.*", "form", "refs")
     members = [cuts.cut(stand.select("id", F.array("id").alias("kept"), "q", "form", "refs"))]
     keys = [cuts.cut(_keys(members[0]))]
     roots, found = None, []
-    numbered = _prepared(batches, "row_id", ["batch_no"]).where("batch_no is not null")
-    incoming = cuts.cut(numbered.withColumn("same", _same(F.col("batch_no").cast("string"))))
+    incoming = cuts.cut(_prepared(batches, "row_id", ["batch_no"]).withColumn("same", _same(F.coalesce(F.col("batch_no").cast("string"), F.lit("none")))))
     copies = cuts.cut(_copies(first.select("id", "same").unionByName(incoming.select("id", "same"))))
     for number in numbers:
-        rows = incoming.where(F.col("batch_no") == number)
+        rows = incoming.where(F.col("batch_no").eqNullSafe(F.lit(number)))
         mine = cuts.cut(rows.groupBy("form", "refs").agg(F.min(alike).alias("x"), F.first("same").alias("same")).select("x.*", "form", "refs", "same"))
         own_keys = cuts.cut(_keys(mine))
         history = _together(members)

@@ -84,6 +84,14 @@ def test_every_copy_of_a_kept_row_is_kept(spark, bank_rows):
     assert sorted(tuple(r) for r in pairs.collect()) == sorted(of_bank + [(kept, dup) for kept in (1002, 1003) for dup in (2002, 2003)])
 
 
+def test_rows_without_a_batch_are_the_last_one(spark, bank_rows):
+    q, other = bank_rows[5][1], bank_rows[6][1]
+    batches = [(1001, None, q, ["d#6"]), (1002, None, other, ["y#1"]), (1003, None, other, ["y#1"]), (1004, 1, other, ["y#1"])]
+    rows = spark.createDataFrame([(*r, 0) for r in batches], ROWS)
+    pairs, _ = linkage.link_batches(spark.createDataFrame([(*r, 0) for r in bank_rows], BANK), rows)
+    assert sorted(tuple(r) for r in pairs.collect()) == [(6, 1001), (1004, 1002), (1004, 1003)]
+
+
 def test_weights_hold_on_pairs_kept_out(bank_rows):
     texts = [r[1] for r in bank_rows]
     lexicon = np.full(linkage.BUCKETS, np.nan)
