@@ -202,7 +202,8 @@ def fit(questions: list[str], lexicon: np.ndarray, seed: int = 7) -> Model:
 def capital_lexicon(texts: DataFrame) -> np.ndarray:
     """Share of capital initials by word bucket over all texts (column q), first words and texts of one case left out: at most BUCKETS rows."""
     mixed = texts.where(F.col("q").rlike(r"\p{Lu}") & F.col("q").rlike(r"\p{Ll}\p{Ll} \p{Ll}"))
-    word = mixed.select(F.explode(F.slice(F.regexp_extract_all("q", F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), 2, 1000)).alias("w"))
+    found = F.regexp_extract_all("q", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    word = mixed.select(F.explode(F.slice(found, 2, F.size(found))).alias("w"))
     bucket = F.pmod(F.crc32(F.encode(F.lower("w"), "UTF-8")), F.lit(BUCKETS)).cast("int")
     capital = F.col("w").rlike(r"^\p{Lu}").cast("int")
     out = np.full(BUCKETS, np.nan)
@@ -212,7 +213,7 @@ def capital_lexicon(texts: DataFrame) -> np.ndarray:
 
 
 def learn(accepted: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """The model: a lexicon of all accepted questions, weights from at most sample_rows of them, chosen by a hash of the id."""
+    """The model: a lexicon of all the questions given, weights from at most sample_rows of them, chosen by a hash of the id."""
     sample = least_hashes(accepted.where("q <> ''").select("id", "q"), "id", sample_rows).select("q").collect()
     return fit([r[0] for r in sample], capital_lexicon(accepted))
 

@@ -92,6 +92,13 @@ def test_rows_without_a_batch_are_the_last_one(spark, bank_rows):
     assert sorted(tuple(r) for r in pairs.collect()) == [(6, 1001), (1004, 1002), (1004, 1003)]
 
 
+def test_lexicon_covers_every_word(spark):
+    import zlib
+
+    lexicon = linkage.capital_lexicon(spark.createDataFrame([("so " + "word " * 1500 + "Zelda ends",), ("",)], "q string"))
+    assert lexicon[zlib.crc32(b"zelda") % linkage.BUCKETS] == 1.0
+
+
 def test_weights_hold_on_pairs_kept_out(bank_rows):
     texts = [r[1] for r in bank_rows]
     lexicon = np.full(linkage.BUCKETS, np.nan)
