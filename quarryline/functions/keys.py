@@ -12,6 +12,8 @@ from pyspark.sql.functions import pandas_udf
 
 from .text import is_ascii, normalized_question
 
+_CONTROL = "[\\x{0}-\\x{1f}\\x{7f}]"  # escapes of control characters are not spelt alike
+
 
 @pandas_udf(T.StringType())
 def _escaped(texts: pd.Series) -> pd.Series:
@@ -20,7 +22,7 @@ def _escaped(texts: pd.Series) -> pd.Series:
 
 def json_string(c: Column) -> Column:
     """A JSON string literal with ASCII escapes. Only texts beyond printable ASCII go through Python."""
-    plain = is_ascii(c) & ~c.rlike("[\\x7f]")
+    plain = is_ascii(c) & ~c.rlike(_CONTROL)
     quick = F.substring(F.to_json(F.struct(c.alias("a"))), 6, 2_000_000_000)
     return F.when(plain, _without_last(quick)).otherwise(_escaped(F.when(~plain, c)))
 
@@ -29,9 +31,16 @@ def _without_last(c: Column) -> Column:
     return F.substring(c, F.lit(1), F.length(c) - 1)
 
 
+@pandas_udf(T.StringType())
+def _escaped_list(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda x: None if x is None else json.dumps(list(x), separators=(",", ":")))
+
+
 def json_strings(c: Column) -> Column:
-    """A JSON array of the strings of an array of references or ids, which are printable ASCII or escaped by to_json alone."""
-    return F.to_json(c)
+    """A JSON array of strings with ASCII escapes. Only arrays that hold text beyond printable ASCII go through Python."""
+    joined = F.array_join(c, "")
+    plain = is_ascii(joined) & ~joined.rlike(_CONTROL)
+    return F.when(plain, F.to_json(c)).otherwise(_escaped_list(F.when(~plain, c)))
 
 
 def question_hash(question: Column) -> Column:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import string
+import sys
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,11 +22,32 @@ def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.length(c)
 
 
+@functools.cache
+def _casefold_rules() -> tuple[str, str, list[tuple[str, str]], str]:
+    """(letters that fold to one, what they fold to, pairs of those that fold to more, class of letters that lower case leaves wrong), by rule from Unicode."""
+    one, several, wrong = {}, [], []
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        if 0xD800 <= code < 0xE000:
+            continue
+        f = c.casefold()
+        if len(f) > 1:
+            several.append((c, f))
+        elif f != c:
+            one[c] = f
+        if f != c.lower() and c not in "ßẞſςΣ":
+            wrong.append(c)
+    return "".join(one), "".join(one.values()), several, "[" + "".join(f"\\x{{{ord(c):x}}}" for c in wrong) + "]"
+
+
 def fold(c: Column) -> Column:
-    """Case folding: lower case, with ß as ss, long s as s and final sigma as sigma."""
-    lowered = F.lower(c)
-    other = F.translate(F.regexp_replace(F.lower(F.translate(c, "ẞ", "ß")), "ß", "ss"), "ſς", "sσ")
-    return F.when(is_ascii(c), lowered).otherwise(other)
+    """Case folding as Unicode defines it. Lower case serves nearly all texts; those with a letter that it leaves wrong take a table."""
+    one, to, several, wrong = _casefold_rules()
+    usual = F.translate(F.replace(F.lower(c), F.lit("ß"), F.lit("ss")), "ſς", "sσ")
+    pairs = F.split(F.lit(" ".join(a + b for a, b in several)), " ")
+    single = F.translate(c, one + string.ascii_uppercase, to + string.ascii_lowercase)
+    table = F.aggregate(pairs, single, lambda acc, x: F.replace(acc, F.substring(x, 1, 1), F.substring(x, 2, 9)))
+    return F.when(is_ascii(c), F.lower(c)).when(c.rlike(wrong), table).otherwise(usual)
 
 
 def normalized_question(c: Column) -> Column:
@@ -39,7 +64,7 @@ def words(c: Column) -> Column:
 
 def tokens(c: Column) -> Column:
     """The distinct runs of two or more ASCII letters and digits, in lower case."""
-    return F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit("[a-z0-9]{2,}"), F.lit(0)))
+    return F.array_distinct(F.regexp_extract_all(F.translate(F.coalesce(c, F.lit("")), string.ascii_uppercase, string.ascii_lowercase), F.lit("[a-z0-9]{2,}"), F.lit(0)))
 
 
 def jaccard(a: Column, b: Column) -> Column:

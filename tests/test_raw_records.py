@@ -2,6 +2,9 @@ import csv
 import io
 import random
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from quarryline.sources import raw_records as R
 
 HEAD = "q,a,[],[],p,1,no,"
@@ -62,7 +65,49 @@ def test_records_are_assembled_over_lines(spark, tmp_path):
     assert [r.line for r in read] == lines and [r.line_no for r in read] == list(range(1, len(lines) + 1))
 
 
+def assembled(spark, lines, **options):
+    df = spark.createDataFrame([("f", i, x) for i, x in enumerate(lines, 1)], "file_name string, line_no long, line string")
+    return [r.raw_line for r in R.assemble_records(df, **options).orderBy("csv_line_number").collect()]
+
+
 def test_a_quote_never_closed_swallows_no_line(spark):
     lines = ["a,b", '"open', "c", "d", "e"]
-    df = spark.createDataFrame([("f", i, x) for i, x in enumerate(lines, 1)], "file_name string, line_no long, line string")
-    assert [r.raw_line for r in R.assemble_records(df, max_lines=2).orderBy("csv_line_number").collect()] == lines
+    assert assembled(spark, lines) == assembled(spark, lines, block_lines=2) == lines
+
+
+def test_a_stray_quote_costs_no_valid_line(spark):
+    lines = ["a,b", 'stray",b', "c,d", '"e","f"', '"two', 'lines",g', "h,i", '"three', "lines", 'here"\r', "j,k"]
+    got = assembled(spark, lines, block_lines=3)
+    assert "c,d" in got and '"e","f"' in got and "a,b" in got and "h,i" in got
+    assert "\n".join(got) == "\n".join(lines)
+
+
+def test_a_record_may_have_any_length(spark):
+    body = "\n".join(f"line {i}" for i in range(25_000))
+    assert assembled(spark, ["a,b", *f'"{body}",c'.split("\n"), "d,e"], block_lines=1000) == ["a,b", f'"{body}",c', "d,e"]
+
+
+def test_no_content_stops_the_load(spark):
+    rows = [(1, made(chunks='["d#' + "9" * 5000 + '", "d#-' + "0" * 5000 + '", "d#-' + "9" * 5000 + '"]')), (2, made(docs='["\\ud800"]')), (3, made(docs="[" + "1" * 5000 + "]")), (4, made(docs='["\\ud83d\\ude00"]'))]
+    df = spark.createDataFrame(rows, "csv_line_number long, raw_line string")
+    assert sorted((r.csv_line_number, r.field, r.error) for r in R.parse_issues(df).collect()) == [(1, "chunk_ids", "index_negative"), (2, "docIds", "invalid_json"), (3, "docIds", "item_not_string")]
+    assert R.loaded_rows(df).collect()[0].doc_ids == ["😀"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.one_of(st.text(st.characters(exclude_categories=["Cs"]), max_size=60), st.text('[]{}",\\\\u0d8#-1 \r\n\x00', max_size=60), st.tuples(st.text('"[]\\\\ud80,', max_size=20), st.text('["#1-\\\\ud]', max_size=20)).map(lambda x: made(*x))))
+def test_any_text_is_a_row_or_issues(line):
+    row, found = R.parse_record(line)
+    assert (row is None) == bool(found)
+    R._arrow([(row, found)])
+
+
+def test_source_rows_of_files(spark, tmp_path):
+    one = 'question,answer,docIds,chunk_ids,pipeline,source_row_number,is_exact_duplicate,duplicate_of_row,extra\r\n"q\r\n1",a,"[""d""]","[""d#07"",""x""]",p,1,yes,,more\r\n\r\nq2,a2\r\n"q3"x,a\r\nq4,a4,[1],,p,,no,\r\n'
+    (tmp_path / "a.csv").write_bytes(("\ufeff" + one).encode())
+    (tmp_path / "b.csv").write_text("answer,question\nA,Q\n")
+    (tmp_path / "c.csv").write_text("answer,question\n")
+    rows, issues_ = R.source_rows(spark, str(tmp_path))
+    got = [(r.file_name, r.record_number, r.csv_line_number, r.question, r.answer, r.doc_ids, r.chunk_ids, r.is_exact_duplicate) for r in rows.orderBy("file_name", "record_number").collect()]
+    assert got == [("a.csv", 1, 2, "q\r\n1", "a", ["d"], ["d#7"], True), ("a.csv", 2, 3, "q2", "a2", [], [], False), ("a.csv", 4, 5, "q4", "a4", [], [], False), ("b.csv", 1, 2, "Q", "A", [], [], False)]
+    assert sorted((r.record_number, r.csv_line_number, r.field, r.error) for r in issues_.collect()) == [(1, 2, "chunk_ids", "no_hash"), (3, 4, "record", "broken_quoting"), (4, 5, "docIds", "item_not_string")]
