@@ -8,33 +8,41 @@ out. Every round at least halves the components that still have edges. Nothing i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import Cuts
+from .skew import join_unique
+
+
+SALTS = 1024  # parts that the nodes of one key are tied in first
 
 
 def _hook(edges: DataFrame) -> DataFrame:
-    """(node, up): the other end of each node's smallest edge; of two that chose one edge, the smaller is a root."""
+    """(node, up): the other end of each node's smallest edge. The minimum is taken on the map side first."""
     both = edges.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other")))).alias("e")).select("e.*")
     key = F.struct(F.least("node", "other").alias("lo"), F.greatest("node", "other").alias("hi"))
     chosen = both.groupBy("node").agg(F.min(key).alias("k"))
-    chosen = chosen.select("node", (F.col("k.lo") + F.col("k.hi") - F.col("node")).alias("up"))
-    back = chosen.select(F.col("node").alias("up"), F.col("up").alias("back"))
-    root = (F.col("back") == F.col("node")) & (F.col("node") < F.col("up"))
-    return chosen.join(back, "up").select("node", F.when(root, F.col("node")).otherwise(F.col("up")).alias("up"))
+    return chosen.select("node", (F.col("k.lo") + F.col("k.hi") - F.col("node")).alias("up"))
+
 
+def _collapse(cuts: Cuts, chosen: DataFrame) -> DataFrame:
+    """Pointer doubling, until every node points to its root; of two nodes that chose one edge, the smaller is the root.
 
-def _collapse(cuts: Cuts, trees: DataFrame) -> DataFrame:
-    """Pointer doubling, until every node points to its root."""
+    Both sides of each join are shuffles of a written table, so that adaptive execution can split the tasks of a hub.
+    """
+    back = chosen.select(F.col("node").alias("up"), F.col("up").alias("back"))
+    root = (F.col("back") == F.col("node")) & (F.col("node") < F.col("up"))
+    trees = cuts.cut(chosen.join(back, "up").select("node", F.when(root, F.col("node")).otherwise(F.col("up")).alias("up")))
+    cuts.drop(chosen)
     while True:
         above = trees.select(F.col("node").alias("up"), F.col("up").alias("top"))
-        doubled = cuts.cut(trees.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")))
-        moved = not doubled.where("moved").isEmpty()
+        doubled, seen = cuts.measured(trees.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), moved=F.max("moved"))
         cuts.drop(trees)
-        trees = doubled
-        if not moved:
-            return trees.select("node", "up")
+        trees = doubled.select("node", "up")
+        trees._cut_path = doubled._cut_path
+        if not seen["moved"]:
+            return trees
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -45,18 +53,20 @@ def components(edges: DataFrame) -> DataFrame:
     """
     cuts = Cuts(edges.sparkSession, "components")
     clean = edges.where("a is not null and b is not null")
-    every = cuts.cut(clean.select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct())
+    proper = F.max(F.col("a") != F.col("b"))
+    every, seen = cuts.measured(clean.select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b")).distinct(), live=proper, loops=F.max(F.col("a") == F.col("b")))
+    some_loops = seen["loops"]
     live, maps = every.where("a <> b"), []
-    while not live.isEmpty():
+    while seen["live"]:
         trees = _collapse(cuts, cuts.cut(_hook(live)))
         # A component is named by its smallest member, which every earlier name already is for its own members.
-        least = trees.groupBy("up").agg(F.min("node").alias("name"))
-        names = cuts.cut(trees.join(least, "up").select("node", "name"))
+        least, figures = cuts.measured(trees.groupBy("up").agg(F.min("node").alias("name"), F.count("*").alias("n")), most=F.max("n"))
+        names = cuts.cut(join_unique(trees, least, "up", "n", figures["most"]).select("node", "name"))
         maps.append(names)
         a, b = (names.select(F.col("node").alias(x), F.col("name").alias(f"to_{x}")) for x in "ab")
         moved = live.join(a, "a").join(b, "b").select(F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b"))
-        nxt = cuts.cut(moved.where("a <> b").distinct())
-        if live is not every:
+        nxt, seen = cuts.measured(moved.where("a <> b").distinct(), live=proper)
+        if len(maps) > 1:
             cuts.drop(live)
         live = nxt
     # From the last and smallest map back to the first: each is resolved once.
@@ -67,6 +77,8 @@ def components(edges: DataFrame) -> DataFrame:
             final = names.join(later, "name", "left").select("node", F.coalesce("component", "name").alias("component"))
         else:
             final = names.select("node", F.col("name").alias("component"))
+    if final is not None and not some_loops:
+        return final
     loops = every.where("a = b").select(F.col("a").alias("node"))
     if final is None:
         return loops.select("node", F.col("node").alias("component"))
@@ -74,7 +86,13 @@ def components(edges: DataFrame) -> DataFrame:
     return final.unionByName(alone)
 
 
-def star_edges(links: DataFrame) -> DataFrame:
-    """Edges (a, b) from the smallest node of each key to its others, for links (key, node): one a link, never all pairs of a key."""
-    first = links.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).where("n > 1").select("key", "a")
-    return links.join(first, "key").select("a", F.col("node").alias("b"))
+def star_edges(links: DataFrame, salts: int = SALTS) -> DataFrame:
+    """Edges (a, b) for links (key, node): the nodes of each key are tied to the least of their salt, those leasts to the least of the key.
+
+    One edge a link at most, never all pairs of a key; a hot key is spread over as many tasks as there are salts. A node alone
+    in its key gives none.
+    """
+    salted = Window.partitionBy("key", "salt")
+    local = links.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(salts))).withColumn("least", F.min("node").over(salted)).select("key", "salt", "node", "least")
+    heads = local.where("node = least").select("key", "node").distinct().withColumn("least", F.min("node").over(Window.partitionBy("key"))).where("node <> least")
+    return local.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).unionByName(heads.select(F.col("least").alias("a"), F.col("node").alias("b")))

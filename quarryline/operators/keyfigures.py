@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..runtime import Cuts
+from .skew import join_unique
 
 BINS = 256
 
@@ -24,22 +25,24 @@ def quantiles_by_key(rows: DataFrame, fractions: tuple[float, ...] = (0.5,)) ->
     """
     spark, cuts = rows.sparkSession, Cuts(rows.sparkSession, "quantiles")
     counts = cuts.cut(rows.where("key is not null and value is not null").groupBy("key", F.col("value").cast("long").alias("value")).agg(F.count("*").alias("c")))
-    ranges = counts.groupBy("key").agg(F.sum("c").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+    ranges = counts.groupBy("key").agg(F.sum("c").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("*").alias("values"))
     wanted = F.explode(F.array(*[F.lit(float(f)) for f in fractions])).alias("fraction")
-    state = ranges.select("key", "n", "lo", "hi", wanted).withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("fraction") * F.col("n"))).cast("long"))
-    state = cuts.cut(state)
+    state = ranges.select("key", "n", "values", "lo", "hi", wanted).withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("fraction") * F.col("n"))).cast("long"))
+    figures = {"open": F.max(F.col("lo") < F.col("hi")), "most": F.max("values")}
+    state, seen = cuts.measured(state, **figures)
     done = []
     while True:
         done.append(state.where("lo = hi").select("key", "n", "fraction", F.col("lo").alias("value")))
         open_ = state.where("lo < hi")
-        if open_.isEmpty():
+        if not seen["open"]:
             break
         # Unsigned arithmetic in decimals keeps ranges that span all 64 bits exact.
         wide = open_.withColumn("step", F.ceil((F.col("hi").cast("decimal(20,0)") - F.col("lo") + 1) / F.lit(BINS)).cast("decimal(20,0)"))
-        held = counts.join(wide, "key").where("value between lo and hi")
-        binned = held.groupBy("key", "n", "fraction", "rank", "lo", "hi", "step", F.floor((F.col("value").cast("decimal(20,0)") - F.col("lo")) / F.col("step")).cast("int").alias("bin")).agg(F.sum("c").alias("c"), F.min("value").alias("least"), F.max("value").alias("most"))
+        # The values of a key with very many of them stay where they are.
+        held = join_unique(counts, wide.withColumn("size", F.col("values")), "key", "size", seen["most"]).where("value between lo and hi")
+        binned = held.groupBy("key", "n", "values", "fraction", "rank", "lo", "hi", "step", F.floor((F.col("value").cast("decimal(20,0)") - F.col("lo")) / F.col("step")).cast("int").alias("bin")).agg(F.sum("c").alias("c"), F.min("value").alias("least"), F.max("value").alias("most"))
         # At most BINS counts of a key and fraction meet here, however many rows the key has.
-        whole = binned.groupBy("key", "n", "fraction", "rank").agg(F.sort_array(F.collect_list(F.struct("bin", "c", "least", "most"))).alias("h"))
+        whole = binned.groupBy("key", "n", "values", "fraction", "rank").agg(F.sort_array(F.collect_list(F.struct("bin", "c", "least", "most"))).alias("h"))
         start = F.struct(F.lit(0).cast("long").alias("below"), F.lit(None).cast("long").alias("lo"), F.lit(None).cast("long").alias("hi"))
 
         def step(acc, x):
@@ -48,7 +51,7 @@ def quantiles_by_key(rows: DataFrame, fractions: tuple[float, ...] = (0.5,)) ->
             return F.struct(below.alias("below"), F.when(inside, x["least"]).otherwise(acc["lo"]).alias("lo"), F.when(inside, x["most"]).otherwise(acc["hi"]).alias("hi"))
 
         found = whole.withColumn("f", F.aggregate("h", start, step))
-        state = cuts.cut(found.select("key", "n", F.col("f.lo").alias("lo"), F.col("f.hi").alias("hi"), "fraction", (F.col("rank") - F.col("f.below")).alias("rank")))
+        state, seen = cuts.measured(found.select("key", "n", "values", F.col("f.lo").alias("lo"), F.col("f.hi").alias("hi"), "fraction", (F.col("rank") - F.col("f.below")).alias("rank")), **figures)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)

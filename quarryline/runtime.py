@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -48,6 +48,12 @@ class Cuts:
         back._cut_path = path
         return back
 
+    def measured(self, df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
+        """The same, with aggregates over df that are taken while it is written. A task that ran twice may count twice: bounds only."""
+        seen = Observation()
+        back = self.cut(df.observe(seen, *[c.alias(k) for k, c in figures.items()]))
+        return back, seen.get
+
     def drop(self, df: DataFrame) -> None:
         """Deletes the table behind a frame that no later plan reads."""
         path = getattr(df, "_cut_path", None)

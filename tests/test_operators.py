@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from quarryline.operators import assign, cluster, components, delta, docfigures, export, graph, hydrate, keyfigures, ordinals, profile, replies, select
+from quarryline.operators import assign, cluster, components, delta, docfigures, export, graph, hydrate, keyfigures, ordinals, profile, replies, select, skew
 from quarryline.sources import training as T
 
 
@@ -28,6 +28,24 @@ def test_components_equal_union_find(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+def test_components_with_a_giant_hub(spark):
+    links = [(7, n) for n in range(3000)] + [(8, 5), (8, 5000), (9, 6000), (10, 6000), (11, 6001)]
+    df = spark.createDataFrame(links, "key long, node long").repartition(3)
+    edges = components.star_edges(df, salts=8)
+    assert edges.groupBy("a").count().agg(F.max("count")).first()[0] < 1000  # no node meets all others of its key
+    got = {r.node: r.component for r in components.components(edges).collect()}
+    assert got == {n: 0 for n in [*range(3000), 5000]}
+
+
+def test_hot_keys_join_in_place(spark):
+    big = spark.createDataFrame([("hot", i) for i in range(50)] + [(f"k{i % 5}", i) for i in range(20)] + [(None, 1)], "key string, v int").repartition(3)
+    small = big.groupBy("key").agg(F.count("*").alias("n"), F.max("v").alias("m"))
+    want = sorted((r.key, r.v, r.m) for r in big.join(small, "key").collect())
+    for bound, most in ((10, None), (10, 50), (1000, 50), (1000, None), (0, None)):
+        assert sorted((r.key, r.v, r.m) for r in skew.join_unique(big, small, "key", "n", most, bound).collect()) == want
+    assert skew.join_unique(big.limit(0), small, "key", "n", None, 10).count() == 0
+
+
 def test_ordinals_number_every_row(spark):
     rows = [(random.Random(1).random() * i % 7, i) for i in range(500)]
     df = spark.createDataFrame(rows, "x double, i int").repartition(5)
