@@ -1,7 +1,8 @@
 """Problem 9: mixing sources to target weights.
 
 The tokens of each source are packed into blocks of fixed length. Every output shard draws its source counts from a multinomial
-distribution; small repairs make the totals meet the quotas exactly. Slot j of a source takes block p(j mod blocks), p being a
+distribution; small repairs make the totals meet the quotas exactly. Shards always have one size; they are drawn in two steps, the
+counts of groups of shards on the driver, those of the shards inside the task of their group, so that any number of them can be drawn. Slot j of a source takes block p(j mod blocks), p being a
 pseudorandom permutation of each pass through the source, so no block comes a second time before all have come once. Slots and
 blocks are joined by index.
 """
@@ -21,7 +22,8 @@ from .tokens import VOCABULARY, token_counts
 
 BLOCK_TOKENS = 256
 SHARD_SLOTS = 1024
-MAX_SHARDS = 4096  # shards grow beyond SHARD_SLOTS instead; their counts are drawn on the driver
+GROUP_SHARDS = 1024  # shards that one task draws and fills; a trillion tokens are some four thousand groups
+BATCH_ROWS = 1 << 16
 CELL_DOCUMENTS = 100_000
 
 
@@ -78,7 +80,7 @@ def quotas(share: np.ndarray, repeats: np.ndarray, blocks: np.ndarray) -> np.nda
     return out
 
 
-def shard_counts(quota: np.ndarray, slots: int, seed: int) -> np.ndarray:
+def shard_counts(quota: np.ndarray, slots: int, seed: int | tuple[int, ...]) -> np.ndarray:
     """(shard, source) counts: a multinomial draw for each shard, repaired by single moves until every source meets its quota."""
     total = int(quota.sum())
     if not total:
@@ -101,7 +103,7 @@ def shard_counts(quota: np.ndarray, slots: int, seed: int) -> np.ndarray:
     return drawn
 
 
-def mixture(documents: DataFrame, targets: DataFrame, *, block_tokens: int = BLOCK_TOKENS, shard_slots: int = SHARD_SLOTS, seed: int = 5, vocabulary: str = VOCABULARY) -> DataFrame:
+def mixture(documents: DataFrame, targets: DataFrame, *, block_tokens: int = BLOCK_TOKENS, shard_slots: int = SHARD_SLOTS, group_shards: int = GROUP_SHARDS, seed: int = 5, vocabulary: str = VOCABULARY) -> DataFrame:
     """(shard, position, source, block, repeat_no, doc_id, token_from, tokens): the parts of documents in each slot of the mixture.
 
     targets: source, target_share, max_repeats, a fixed table with one row a source. Documents of other or null sources and
@@ -119,29 +121,36 @@ def mixture(documents: DataFrame, targets: DataFrame, *, block_tokens: int = BLO
     share = np.array([r[1] or 0.0 for r in wanted], float)
     size = np.array([held.get(s, 0) for s in names], np.int64)
     quota = quotas(share, np.array([r[2] or 0 for r in wanted], np.int64), size)
-    slots = max(shard_slots, -(-int(quota.sum()) // MAX_SHARDS))
-    drawn = shard_counts(quota, slots, seed)
-    starts = np.cumsum(drawn, axis=0) - drawn
-    sent = spark.sparkContext.broadcast((drawn, starts, size, names))
+    groups = shard_counts(quota, shard_slots * group_shards, seed)
+    starts = np.cumsum(groups, axis=0) - groups
+    rows = [(g, groups[g].tolist(), starts[g].tolist()) for g in range(len(groups))] if quota.sum() else []
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        drawn, starts, size, names = sent.value
         for batch in batches:
-            for shard in batch.column(0).to_pylist():
-                order = np.random.default_rng((seed, shard)).permutation(int(drawn[shard].sum()))
-                done = 0
-                for s in np.flatnonzero(drawn[shard]):
-                    j = starts[shard, s] + np.arange(drawn[shard, s])
-                    turn, index = j // size[s], j % size[s]
-                    block = np.empty(len(j), np.int64)
-                    for e in np.unique(turn):
-                        block[turn == e] = permuted(index[turn == e], int(size[s]), int(seed * 1_000_003 + s * 1009 + e))
-                    position = order[done : done + len(j)]
-                    done += len(j)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), shard, np.int64)), pa.array(position.astype(np.int64)), pa.array([names[s]] * len(j)), pa.array(block), pa.array((turn + 1).astype(np.int32))], names=["shard", "position", "source", "block", "repeat_no"])
-
-    shards = spark.range(0, len(drawn), 1, min(len(drawn), 4 * spark.sparkContext.defaultParallelism)) if quota.sum() else spark.range(0)
-    placed = shards.mapInArrow(fill, "shard long, position long, source string, block long, repeat_no int")
+            for g, counts, first in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                drawn = shard_counts(np.array(counts, np.int64), shard_slots, (seed, g))
+                shard, source, block, turn = [], [], [], []
+                for s in np.flatnonzero(counts):
+                    j = first[s] + np.arange(counts[s])
+                    passes, index = j // size[s], j % size[s]
+                    for e in np.unique(passes):
+                        index[passes == e] = permuted(index[passes == e], int(size[s]), int(seed * 1_000_003 + s * 1009 + e))
+                    shard.append(np.repeat(np.arange(len(drawn)), drawn[:, s]))
+                    source.append(np.full(len(j), s))
+                    block.append(index)
+                    turn.append(passes + 1)
+                shard, source, block, turn = (np.concatenate(x) for x in (shard, source, block, turn))
+                # Slots of a shard come in a random order.
+                order = np.lexsort((np.random.default_rng((seed, g, 1)).random(len(shard)), shard))
+                shard, source, block, turn = (x[order] for x in (shard, source, block, turn))
+                position = np.arange(len(shard)) - np.searchsorted(shard, shard)
+                named = pa.array(names, pa.string()).take(pa.array(source))
+                columns = [pa.array(shard + g * group_shards), pa.array(position), named, pa.array(block), pa.array(turn.astype(np.int32))]
+                whole = pa.RecordBatch.from_arrays(columns, names=["shard", "position", "source", "block", "repeat_no"])
+                yield from (whole.slice(k, BATCH_ROWS) for k in range(0, len(shard), BATCH_ROWS))
+
+    drawn_groups = spark.createDataFrame(rows, "g long, counts array<long>, first array<long>").repartition(max(1, min(len(rows), 4096)), "g")
+    placed = drawn_groups.mapInArrow(fill, "shard long, position long, source string, block long, repeat_no int")
     return placed.join(blocks, ["source", "block"]).select("shard", "position", "source", "block", "repeat_no", "doc_id", "token_from", "tokens")
 
 

@@ -61,6 +61,10 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.look_alike_pairs(load(spark, sf_dir, "documents"))
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return canonical.look_alike_classes(load(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "p1_found": p1_found,
@@ -75,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p9_mixture": p9_mixture,
         "p9_shares": p9_shares,
         "p10_found": p10_found,
+        "p10_classes": p10_classes,
     }
 
 

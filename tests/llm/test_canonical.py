@@ -49,6 +49,7 @@ def test_code_points_round_trip(texts):
 def test_what_looks_alike_and_what_does_not():
     assert one("Ｔｈｅ ﬁ​ling — café") == one("The filing — café")
     assert one("Неlena") == one("Helena")
+    assert one("αρκυ ΟΗ օո ᎪᎬ Үѵ Ⅻ ⲢⲞ") == "apku OH on AE Yv XII PO"
     for a, b in (("Cafe", "Café"), ("word", "Word"), ("page 1", "page 2"), ("x²", "x2"), ("O", "0"), ("l", "1")):
         assert one(a) != one(b)
 
@@ -73,3 +74,23 @@ def test_pairs(spark):
     assert canonical.look_alike_pairs(df.limit(0)).collect() == []
     kept = canonical.canonical_texts(df, "text", "form")
     assert kept.columns == ["doc_id", "text", "form"] and kept.where("doc_id = 1").first().form == "a file"
+
+
+def test_classes_hold_every_document(spark):
+    rows = [(1, "a ﬁle"), (2, "a file"), (3, "a file"), (4, "A file"), (5, None), (6, ""), (7, "other"), (8, "other")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, class_id int").repartition(3)
+    assert sorted(tuple(r) for r in canonical.look_alike_classes(df).collect()) == [(1, 1), (2, 1), (3, 1)]
+    assert canonical.look_alike_classes(df.limit(0)).count() == 0
+
+
+def test_a_hot_class_is_spread_over_salts(spark, monkeypatch):
+    monkeypatch.setattr(canonical, "PAIR_ROWS", 7)
+    df = spark.createDataFrame([(i, "hot " + "\u200b" * (i % 4) + "text") for i in range(60)], "doc_id long, text string")
+    assert {tuple(r) for r in canonical.look_alike_pairs(df).collect()} == {(a, b) for a in range(60) for b in range(a + 1, 60) if a % 4 != b % 4}
+
+
+def test_a_larger_list_is_read(tmp_path):
+    path = tmp_path / "list.txt"
+    path.write_text("\ufeff# comment\n10D5 ; 006C ; MA # x\n0031 ; 006C ; MA\n0665 ; 006F ; MA\n1D7C ; 0069 0335 ; MA\n")
+    assert canonical.read_look_alikes(str(path)) == {"\u10d5": "l"}
+    assert canonical.canonical_array(pa.array(["\u10d5a"], pa.string()), str(path)).to_pylist() == ["la"] and one("\u10d5a") == "\u10d5a"

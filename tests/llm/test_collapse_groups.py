@@ -34,6 +34,22 @@ def test_formatting_field_order_and_references(spark):
     assert {r.first_record: r.copies for r in records.collect()} == {2: 3, 7: 1, 8: 1, 1: 2, 4: 1, 6: 1, 10: 3}
 
 
+def test_labels_of_any_kind(spark):
+    wide = "amount of the fee payable to the registry office on the day of filing"
+    rows = [
+        (1, "q", f"{wide}: 7 crowns; Date/time: noon", ["d#1"]),
+        (2, "q", f"Date/time: noon\n{wide.upper()}: 7 crowns.", ["d#1"]),
+        (3, "q", f'{{"Date/time": "noon", "{wide}": "7 crowns"}}', ["d#1"]),
+        (4, "p", 'Fee (crowns), net: 17,250; Rule: clause 3, "b": x', ["d#1"]),
+        (5, "p", '{"Rule": "clause 3, \\"b\\": x", "Fee (crowns), net": "17,250"}', ["d#1"]),
+        (6, "r", "Café: 1.50, Größe: 2", ["d#1"]),
+        (7, "r", '{"Gr\\u00f6\\u00dfe": 2, "Caf\\u00e9": 1.50}', ["d#1"]),
+        (8, "s", "He said: no. A sum is due: 7", ["d#1"]),
+        (9, "s", "A sum is due: 7. He said: no", ["d#1"]),
+    ]
+    assert pairs(collapse.hidden_copies(frame(spark, rows))) == [(1, 2), (1, 3), (4, 5), (6, 7)]
+
+
 def test_hot_record_and_empty(spark):
     rows = [(i, "hot  question" if i % 2 else "Hot question", "a", ["d#1"]) for i in range(1, 301)] + [(1000, None, None, ["d#1"])]
     assert pairs(collapse.hidden_copies(frame(spark, rows).repartition(5))) == [(1, i) for i in range(2, 301)]

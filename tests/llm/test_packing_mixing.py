@@ -88,7 +88,7 @@ def test_mixture(spark):
     docs += [(900, None, "big", 1), (901, "", "small", 1), (902, "text", None, 1)]
     df = spark.createDataFrame(docs, "doc_id long, text string, source string, block int").repartition(3)
     targets = spark.createDataFrame([("big", 0.6, 2), ("small", 0.4, 3), ("absent", 0.0, 2)], "source string, target_share double, max_repeats int")
-    mixed = mixing.mixture(df, targets, block_tokens=32, shard_slots=64)
+    mixed = mixing.mixture(df, targets, block_tokens=32, shard_slots=64, group_shards=3)
     shares = {r.source: r for r in mixing.shares_reached(mixed, targets).collect()}
     assert shares["big"].share == pytest.approx(0.6, abs=0.01) and shares["small"].share == pytest.approx(0.4, abs=0.01)
     assert shares["absent"].tokens == 0
@@ -98,9 +98,13 @@ def test_mixture(spark):
     for r in rows:
         slots.setdefault((r.shard, r.position), set()).add((r.source, r.block, r.repeat_no))
     assert all(len(v) == 1 for v in slots.values())
+    filled = {}
+    for shard, position in slots:
+        filled.setdefault(shard, []).append(position)
+    assert len(filled) > 6 and all(sorted(v) == list(range(64)) for k, v in filled.items() if k != max(filled))  # shards have one size, however many
     seen = [x for v in slots.values() for x in v]
     assert len(seen) == len(set(seen))  # a block comes once in each pass
     assert all(sum(t.tokens for t in rows if (t.shard, t.position) == k) <= 32 for k in list(slots)[:50])
-    again = mixing.mixture(df.repartition(5), targets, block_tokens=32, shard_slots=64).collect()
+    again = mixing.mixture(df.repartition(5), targets, block_tokens=32, shard_slots=64, group_shards=3).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
     assert mixing.mixture(df.limit(0), targets).count() == 0 and mixing.mixture(df, targets.limit(0)).count() == 0
