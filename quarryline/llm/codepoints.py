@@ -170,16 +170,31 @@ class Words:
         return acc[keep], self.row[:n][keep]
 
 
-def window_minima(hashes: np.ndarray, rows: np.ndarray, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """The least hash of every w neighbouring shingles of a row: the MinHash of a set of w shingles. Neighbours that choose the same one are merged."""
+def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
+    """The least of every w neighbours, by doubling: a window is two overlapping ones of a power of two."""
+    n, size = len(x) - w + 1, 1
+    if n <= 0:
+        return x[:0]
+    least = x
+    while 2 * size <= w:
+        least = np.minimum(least[:-size], least[size:])
+        size *= 2
+    return np.minimum(least[:n], least[w - size : w - size + n])
+
+
+def window_signatures(hashes: np.ndarray, rows: np.ndarray, w: int, permutations: int) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, row) of every w neighbouring shingles of a row: one band of the MinHashes of their set under several permutations.
+
+    Neighbours with equal signatures are merged.
+    """
     n = len(hashes) - w + 1
     if n <= 0:
         return hashes[:0], rows[:0]
-    least = hashes[:n].copy()
-    for j in range(1, w):
-        np.minimum(least, hashes[j : j + n], out=least)
+    band = np.full(n, w, np.uint64)
+    for k in range(permutations):
+        band = mix(band * _PRIME + sliding_min(hashes if not k else mix(hashes ^ np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))), w))
     keep = rows[:n] == rows[w - 1 :]
-    least, row = least[keep], rows[:n][keep]
-    fresh = np.ones(len(least), bool)
-    fresh[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
-    return least[fresh], row[fresh]
+    band, row = band[keep], rows[:n][keep]
+    fresh = np.ones(len(band), bool)
+    fresh[1:] = (band[1:] != band[:-1]) | (row[1:] != row[:-1])
+    return band[fresh], row[fresh]

@@ -1,6 +1,7 @@
 import random
 
 from quarryline.llm import leaks
+from quarryline.llm.codepoints import sliding_min
 
 
 def brute(texts, items, k=8):
@@ -36,6 +37,30 @@ def test_both_ways_equal_brute_force(spark):
         assert {(r.row_key, r.item_id) for r in got} == want and len(got) == len(want)
 
 
+def test_longer_passages_for_larger_items(spark):
+    import numpy as np
+
+    least = leaks.least_passages(8, 5, 0.5)
+    assert least[:6].tolist() == [4, 4, 4, 4, 8, 16]
+    item = [f"w{i}" for i in range(44)]  # 40 shingles, of the class from 32 on: 16 of them, 20 words in a row
+    rows = [(1, " ".join(["x", *item[3:23], "y"])), (2, " ".join(["x", *item[3:22], "y"])), (3, " ".join(item)), (4, "s1 s2 s3 s4 s5 s6 s7 s8")]
+    corpus = spark.createDataFrame(rows, "row_key long, text string")
+    held = spark.createDataFrame([(7, " ".join(item)), (8, "s1 s2 s3 s4 s5 s6 s7 s8 s9")], "item_id long, text string")
+    for most in (10**6, 0):
+        got = leaks.leaked_items(corpus, held, ["row_key"], containment=0.5, max_sent=most)
+        assert sorted(tuple(r) for r in got.collect()) == [(1, 7), (3, 7), (4, 8)]
+    x = np.random.default_rng(1).integers(0, 100, 50)
+    assert all((leaks_min == [x[i : i + w].min() for i in range(51 - w)]).all() for w in (1, 2, 3, 7, 16, 50) for leaks_min in [sliding_min(x, w)])
+
+
+def test_a_common_passage_in_every_text(spark):
+    common = "this is a line that every text of the corpus holds somewhere"
+    corpus = spark.createDataFrame([(i, f"text {i} says {common} and goes on") for i in range(300)], "row_key long, text string").repartition(3)
+    held = spark.createDataFrame([(i, f"item {i}: {common}") for i in range(20)], "item_id long, text string")
+    for most in (10**6, 0):
+        assert leaks.leaked_items(corpus, held, ["row_key"], max_sent=most).count() == 6000
+
+
 def test_empty_tables(spark):
     texts, items = data(4)
     corpus = spark.createDataFrame([(k, t) for k, t in texts], "row_key long, text string")
