@@ -2,8 +2,10 @@
 
 The lengths form a histogram of a bounded number of classes. Over it, the configuration linear program (fewest containers so
 that the patterns chosen cover all items) is solved by multiplicative weights: the dearest pattern under the prices of the
-moment comes from a knapsack dynamic program, prices fall with coverage. The solution is rounded down, what is left is filled
-by the same dynamic program. Only the histogram and the patterns reach the driver; items find their container by their rank.
+moment comes from a knapsack dynamic program, prices fall with coverage. Every price vector also gives a lower bound (its total
+over the dearest pattern), and the program stops when its rounded plan is within `gap` of the best bound. The solution is
+rounded down, what is left is filled longest first. Only the histogram and the patterns reach the driver; items find their
+container by their rank.
 """
 
 from __future__ import annotations
@@ -20,25 +22,25 @@ from pyspark.sql import types as T
 from ..runtime import Cuts
 from .tokens import VOCABULARY, token_counts
 
-GRID = 0.01  # relative width of a length class; the room lost to it is at most that share of an item
-HEAVY = 0.002  # share of all items from which a length is a class bound
+GRID = 0.002  # relative width of a length class: the room lost to it is at most that share of an item; shorter lengths than 500 are exact
+GAP = 0.002  # a plan this near to the lower bound is good enough
+ROUNDS = 512  # of the averaged program, for any capacity
+ETA = 3.0  # how fast prices fall with coverage
 CELL_ITEMS = 200_000  # items that are ranked in one task
 
 
-def class_bounds(lengths: np.ndarray, counts: np.ndarray, grid: float = GRID, heavy: float = HEAVY) -> np.ndarray:
-    """Upper bounds of the length classes, each a length that occurs. A class spans at most the share `grid` of its bound; a
-    length that holds the share `heavy` of all items bounds its own, so that what is common is never rounded."""
-    order = np.argsort(-lengths)
+def class_bounds(lengths: np.ndarray, grid: float = GRID) -> np.ndarray:
+    """Upper bounds of the length classes, each a length that occurs. A class spans at most the share `grid` of its bound."""
     bounds: list[int] = []
-    for length, n in zip(lengths[order], counts[order], strict=True):
-        if not bounds or length < bounds[-1] * (1 - grid) or n >= heavy * counts.sum():
+    for length in np.sort(lengths)[::-1]:
+        if not bounds or length < bounds[-1] * (1 - grid):
             bounds.append(int(length))
     return np.array(bounds[::-1], np.int64)
 
 
 def best_pattern(size: np.ndarray, price: np.ndarray, stock: np.ndarray, capacity: int) -> np.ndarray:
     """How many of each class the dearest container holds: a knapsack with at most `stock` of each, by dynamic programming."""
-    value = np.zeros(capacity + 1)
+    value = np.zeros(capacity + 1, np.float32)
     parts, took = [], []
     for k in np.flatnonzero((stock > 0) & (price > 0)):
         left, chunk = min(int(stock[k]), capacity // int(size[k])), 1
@@ -46,65 +48,123 @@ def best_pattern(size: np.ndarray, price: np.ndarray, stock: np.ndarray, capacit
             n = min(chunk, left)
             room = n * int(size[k])
             if room <= capacity:
-                with_it = value[: capacity + 1 - room] + n * price[k]
-                better = np.zeros(capacity + 1, bool)
-                better[room:] = with_it > value[room:] + 1e-12
-                if better.any():
-                    value[room:] = np.where(better[room:], with_it, value[room:])
-                    parts.append((int(k), n, room))
-                    took.append(np.packbits(better))
+                with_it, tail = value[: capacity + 1 - room] + np.float32(n * price[k]), value[room:]
+                better = with_it > tail
+                np.copyto(tail, with_it, where=better)
+                parts.append((int(k), n, room))
+                took.append(np.packbits(better))
             left -= n
             chunk *= 2
     out = np.zeros(len(size), np.int64)
     room = int(value.argmax())
     for (k, n, need), bits in zip(reversed(parts), reversed(took), strict=True):
-        if bits[room >> 3] >> (7 - (room & 7)) & 1:
+        at = room - need
+        if at >= 0 and bits[at >> 3] >> (7 - (at & 7)) & 1:
             out[k] += n
-            room -= need
+            room = at
     return out
 
 
 @dataclass(frozen=True)
 class Plan:
     patterns: list[tuple[np.ndarray, int]]  # (how many of each class, copies)
-    relaxed: float  # containers of the linear program
-
-
-def plan_patterns(size: np.ndarray, count: np.ndarray, capacity: int, rounds: int | None = None, eta: float = 3.0) -> Plan:
-    """Patterns with copies that hold count[k] items of size[k] exactly, none above capacity."""
-    size, left = size.astype(np.int64), count.astype(np.int64).copy()
-    if not left.sum():
-        return Plan([], 0.0)
-    rounds = rounds or int(np.clip(1_200_000 / capacity, 150, 2000))
-    volume = float((size * count).sum()) / capacity
-    have = np.maximum(count, 1)
-    base, covered, pool = size / capacity, np.zeros(len(size)), {}
-    steps = min(rounds, max(1, int(np.ceil(volume))))
-    for t in range(steps):
-        price = base * np.exp(np.clip(-eta * (covered / have - (t + 0.5) / steps), -30, 30)) * (count > 0)
-        pattern = best_pattern(size, price, count, capacity)
-        covered += pattern * (volume / steps)
-        key = pattern.tobytes()
-        pool[key] = pool.get(key, 0.0) + volume / steps
-    relaxed = sum(pool.values()) / max(1e-9, float((covered / have)[count > 0].clip(max=1).mean()))
-    chosen: list[tuple[np.ndarray, int]] = []
-
-    def use(pattern: np.ndarray, copies: int) -> None:
-        if copies > 0:
-            chosen.append((pattern, copies))
-            left[:] = left - pattern * copies
-
-    for key, share in sorted(pool.items(), key=lambda x: (-x[1], x[0])):
-        pattern = np.frombuffer(key, np.int64)
-        held = pattern > 0
-        use(pattern, min(int(share), int((left[held] // pattern[held]).min())))
-    while left.sum():
-        # What is left: long items first, as they are the harder to place.
-        price = base * (1 + 0.25 * base) * (left > 0)
-        pattern = best_pattern(size, price, left, capacity)
-        held = pattern > 0
-        use(pattern, int((left[held] // pattern[held]).min()))
-    return Plan(chosen, relaxed)
+    bound: int  # no plan for these classes has fewer containers
+
+    @property
+    def containers(self) -> int:
+        return sum(copies for _, copies in self.patterns)
+
+
+class _Program:
+    """The configuration program of one histogram: prices, coverage and the best lower bound so far."""
+
+    def __init__(self, size: np.ndarray, count: np.ndarray, capacity: int):
+        self.size, self.count, self.capacity = size, count, capacity
+        self.volume = float((size * count).sum()) / capacity
+        self.bound = int(np.ceil(self.volume - 1e-9))
+
+    def pattern(self, ahead: np.ndarray, stock: np.ndarray) -> np.ndarray:
+        """The dearest pattern when the coverage of each class is `ahead` of the others' (in shares of its items)."""
+        price = self.size / self.capacity * np.exp(np.clip(-ETA * ahead, -30, 30)) * (self.count > 0)
+        found = best_pattern(self.size, price, stock, self.capacity)
+        if (stock >= np.minimum(self.count, self.capacity // self.size)).all():  # else the pattern is the dearest of fewer
+            dearest = float((found * price).sum()) * 1.0001  # prices are added up in single precision
+            self.bound = max(self.bound, int(np.ceil(float((price * self.count).sum()) / dearest - 1e-6)))
+        return found
+
+    def longest_first(self, left: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """Patterns for what is left: each container takes the longest item that fits, again and again."""
+        left, out = left.copy(), []
+        while left.any():
+            room, pattern, alive = self.capacity, np.zeros(len(left), np.int64), np.flatnonzero(left)
+            top = len(alive)
+            while (top := int(np.searchsorted(self.size[alive[:top]], room, side="right"))) > 0:
+                k = alive[top - 1]
+                pattern[k] = min(int(left[k]), room // int(self.size[k]))
+                room -= int(pattern[k] * self.size[k])
+                top -= 1
+            copies = int((left[pattern > 0] // pattern[pattern > 0]).min())
+            out.append((pattern, copies))
+            left -= pattern * copies
+        return out
+
+    def shrinking(self, gap: float) -> list[tuple[np.ndarray, int]]:
+        """Steps of many containers first, then of half as many and so on; a step never covers more than there is."""
+        covered, used, chosen, step = np.zeros(len(self.size), np.int64), 0, [], max(1, int(self.volume / 64))
+        while True:
+            while ((stock := (self.count - covered) // step) > 0).any():
+                pattern = self.pattern(covered / np.maximum(self.count, 1) - used / self.volume, stock)
+                if (pattern * self.size).sum() < self.capacity * (1 - gap / 2):
+                    break
+                held = pattern > 0
+                copies = min(step, int(((self.count - covered)[held] // pattern[held]).min()))
+                covered += pattern * copies
+                used += copies
+                chosen.append((pattern, copies))
+            if step == 1 or step * 8192 <= self.volume:
+                return chosen + self.longest_first(self.count - covered)
+            step = max(1, step // 2)
+
+    def averaged(self, gap: float, rounds: int) -> list[tuple[np.ndarray, int]]:
+        """Every round adds an equal share of its pattern; their number doubles until the rounded plan is near enough."""
+        covered, pool, best, turns, t = np.zeros(len(self.size)), {}, None, 32, 0
+        while True:
+            for t in range(t, turns):
+                pattern = self.pattern(covered / np.maximum(self.count, 1) - (t + 0.5) / turns, self.count)
+                covered += pattern * (self.volume / turns)
+                pool[pattern.tobytes()] = pool.get(pattern.tobytes(), 0.0) + self.volume / turns
+            left, chosen = self.count.copy(), []
+            for key, share in sorted(pool.items(), key=lambda x: (-x[1], x[0])):
+                pattern = np.frombuffer(key, np.int64)
+                held = pattern > 0
+                copies = min(int(share), int((left[held] // pattern[held]).min()))
+                if copies > 0:
+                    left -= pattern * copies
+                    chosen.append((pattern, copies))
+            chosen += self.longest_first(left)
+            if best is None or sum(c for _, c in chosen) < sum(c for _, c in best):
+                best = chosen
+            if sum(c for _, c in best) <= self.bound * (1 + gap) or turns >= rounds:
+                return best
+            covered, pool = covered / 2, {k: v / 2 for k, v in pool.items()}
+            t, turns = turns, 2 * turns
+
+
+def plan_patterns(size: np.ndarray, count: np.ndarray, capacity: int, gap: float = GAP, rounds: int = ROUNDS) -> Plan:
+    """Patterns with copies that hold count[k] items of size[k] exactly, none above capacity.
+
+    Shrinking steps come first; where their plan is farther than `gap` from the lower bound, the averaged program is run too
+    and the better plan is taken.
+    """
+    size, count = size.astype(np.int64), count.astype(np.int64)
+    if not count.sum():
+        return Plan([], 0)
+    program = _Program(size, count, capacity)
+    program.pattern(np.zeros(len(size)), count)
+    plans = [program.shrinking(gap)]
+    if sum(c for _, c in plans[0]) > program.bound * (1 + gap):
+        plans.append(program.averaged(gap, rounds))
+    return Plan(min(plans, key=lambda p: sum(c for _, c in p)), program.bound)
 
 
 def _slots(plan: Plan) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
@@ -145,7 +205,7 @@ def pack(counts: DataFrame, capacity: int, kind: str, cuts: Cuts) -> DataFrame:
     items = counts.where("tokens > 0").select("doc_id", F.posexplode(pieces).alias("piece_no", "tokens"))
     histogram = items.groupBy("tokens").agg(F.count("*").alias("n")).collect()  # at most `capacity` rows
     lengths, numbers = (np.array([r[i] for r in histogram], np.int64) for i in (0, 1))
-    bounds = class_bounds(lengths, numbers)
+    bounds = class_bounds(lengths)
     count = np.bincount(np.searchsorted(bounds, lengths), weights=numbers, minlength=len(bounds)).astype(np.int64)
     plan = plan_patterns(bounds, count, capacity)
     keys, first, per, _ = _slots(plan)
@@ -186,7 +246,12 @@ def pack_all(documents: DataFrame, capacities: DataFrame, vocabulary: str = VOCA
 
 
 def room_used(packed: DataFrame, capacities: DataFrame) -> DataFrame:
-    """(container_kind, capacity_tokens, containers, tokens, least_containers, share_used): least_containers is what the tokens alone would need."""
+    """(container_kind, capacity_tokens, containers, tokens, least_containers, gap, share_used).
+
+    least_containers is what the tokens alone would need, a lower bound of any packing; gap is how much more than that were used.
+    """
     used = packed.where("tokens > 0").groupBy("container_kind", "container_id").agg(F.sum("tokens").alias("t")).groupBy("container_kind").agg(F.count("*").alias("containers"), F.sum("t").alias("tokens"))
     both = used.join(F.broadcast(capacities.select("container_kind", "capacity_tokens").distinct()), "container_kind")
-    return both.select("container_kind", "capacity_tokens", "containers", "tokens", F.ceil(F.col("tokens") / F.col("capacity_tokens")).alias("least_containers"), F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 4).alias("share_used"))
+    least = F.ceil(F.col("tokens") / F.col("capacity_tokens"))
+    share = F.round(F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 4)
+    return both.select("container_kind", "capacity_tokens", "containers", "tokens", least.alias("least_containers"), F.round(F.col("containers") / least - 1, 4).alias("gap"), share.alias("share_used"))

@@ -68,6 +68,20 @@ def test_pattern_is_the_dearest(items, capacity):
     assert (pattern * price).sum() == pytest.approx(max(best.values()))
 
 
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(1, 300)), min_size=1, max_size=12, unique_by=lambda x: x[0]), st.integers(60, 200))
+def test_a_plan_holds_all_and_the_bound_is_one(items, capacity):
+    size, count = (np.array(x) for x in zip(*sorted(items), strict=True))
+    plan = packing.plan_patterns(size, count, capacity)
+    assert (sum(p * c for p, c in plan.patterns) == count).all() and all((p * size).sum() <= capacity for p, _ in plan.patterns)
+    assert -(-int((size * count).sum()) // capacity) <= plan.bound <= plan.containers <= 1.25 * plan.bound + 2
+
+
+def test_the_bound_is_above_the_volume_where_items_do_not_pair():
+    plan = packing.plan_patterns(np.array([60]), np.array([100]), 100)
+    assert plan.bound == plan.containers == 100
+
+
 @given(st.integers(1, 500), st.integers(0, 10**6))
 @settings(max_examples=40, deadline=None)
 def test_permutation(n, key):
