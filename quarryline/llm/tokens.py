@@ -36,10 +36,9 @@ def token_counts(df: DataFrame, text: str = "text", vocabulary: str = VOCABULARY
     schema = T.StructType([*source.drop(text).schema.fields, T.StructField("tokens", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary_batch
+        encode = encoder(vocabulary).encode_ordinary  # a call a text: the encoder's own batch call takes 1.7 times as long
         for batch in batches:
-            texts = batch.column(len(kept)).fill_null("").to_pylist()
-            counts = pa.array([len(t) for t in encode(texts, num_threads=1)], pa.int64())
+            counts = pa.array([len(encode(t)) if t else 0 for t in batch.column(len(kept)).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts], names=schema.names)
 
     return source.mapInArrow(run, schema)
