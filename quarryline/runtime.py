@@ -30,7 +30,8 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def _path_of(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, under the name of this application."""
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
@@ -42,7 +43,7 @@ class Cuts:
 
     def cut(self, df: DataFrame) -> DataFrame:
         """Writes df and reads it back."""
-        path = _path_of(self.spark, self.name)
+        path = scratch_path(self.spark, self.name)
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         back._cut_path = path
@@ -54,6 +55,9 @@ class Cuts:
         back = self.cut(df.observe(seen, *[c.alias(k) for k, c in figures.items()]))
         return back, seen.get
 
+    def observed(self) -> Observation:
+        return Observation()
+
     def drop(self, df: DataFrame) -> None:
         """Deletes the table behind a frame that no later plan reads."""
         path = getattr(df, "_cut_path", None)
