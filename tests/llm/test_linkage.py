@@ -117,14 +117,87 @@ def test_close():
     assert not linkage._close("may", "day", 1) and not linkage._close("window", "widnwo", 1) and linkage._close("window", "widnwo", 2)
 
 
-def test_only_tied_clusters_merge(spark):
-    from quarryline.runtime import Cuts
+def test_numbers_written_otherwise(spark, bank_rows):
+    asked = "How large was the fee of {} crowns that Alderby Holdings paid on {} March 2021 under AB/2021/{}?"
+    same = [("1,000", "2", "77"), ("1000", "02", "077"), ("1'000", "2nd", "77")]
+    other = [("1,001", "2", "77"), ("1,000", "3rd", "77"), ("10,000", "2", "77"), ("1,000", "2", "78")]
+    bank = spark.createDataFrame([(*r, 0) for r in [*bank_rows, (900, asked.format(*same[0]), ["n#1"])]], BANK)
+    rows = [(1000 + i, 1, asked.format(*x), ["n#1"], 0) for i, x in enumerate([*same, *other])]
+    pairs = sorted(tuple(r) for r in linkage.link_batches(bank, spark.createDataFrame(rows, ROWS))[0].collect())
+    assert pairs == [(900, 1000), (900, 1001), (900, 1002)]
 
-    cuts = Cuts(spark, "t")
+
+def batch_frames(spark, bank_rows, n):
+    rng = random.Random(4)
+    new = questions(40, 9)
+    every = [q for _, q, _ in bank_rows[:40]] + new
+    return [[(1000 * b + i, rng.choice(every).replace("the", "teh", 1), [f"d#{rng.randint(1, 40)}", "hot#1"]) for i in range(30)] for b in range(1, n + 1)]
+
+
+def test_a_second_session_goes_on(spark, bank_rows, tmp_path):
+    frames = batch_frames(spark, bank_rows, 4)
+    bank = spark.createDataFrame([(*r, 0) for r in bank_rows], BANK)
+    whole = spark.createDataFrame([(i, b, q, refs, 0) for b, rows in enumerate(frames, 1) for i, q, refs in rows], ROWS)
+    pairs, clusters = linkage.link_batches(bank, whole)
+    path = f"file://{tmp_path}/store"
+    linkage.link_batches(bank, whole.where("batch_no <= 3"), path=path)
+    store = linkage.LinkStore(spark, path)
+    last = whole.where("batch_no = 4")
+    store.add(last, 4)
+    again = linkage.LinkStore(spark, path)
+    assert sorted(map(tuple, again.pairs().collect())) == sorted(map(tuple, pairs.collect())) and pairs.count() > 20
+    assert sorted(map(tuple, again.clusters().collect())) == sorted(map(tuple, clusters.collect()))
+    with pytest.raises(ValueError, match="part 4"):
+        again.add(last, 4)
+    with pytest.raises(ValueError, match="store"):
+        linkage.LinkStore.create(spark, path, bank)
+
+
+def test_only_touched_buckets_are_read(spark, bank_rows, tmp_path):
+    bank = spark.createDataFrame([(*r, 0) for r in bank_rows], BANK)
+    store = linkage.LinkStore.create(spark, f"file://{tmp_path}/store", bank, buckets=64)
+    rows = spark.createDataFrame([(5001, 1, "Who pays?", ["d#1"], 0)], ROWS)
+    keys = linkage._keys(linkage._prepared(rows, "row_id")).withColumn("bucket", store._bucket("key"))
+    touched = [r.bucket for r in keys.collect()]
+    read = store.read("keys", touched)
+    assert len(touched) == 1 and len(read.inputFiles()) > 30
+    scan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in scan or f"(bucket#" in scan and "PartitionFilters" in scan
+    assert read.count() < store.read("keys").count() / 8
+
+
+def test_hot_blocks_are_split_without_loss(spark, bank_rows, monkeypatch):
+    frames = batch_frames(spark, bank_rows, 2)
+    bank = spark.createDataFrame([(*r, 0) for r in bank_rows], BANK)
+    rows = spark.createDataFrame([(i, b, q, refs, 0) for b, part in enumerate(frames, 1) for i, q, refs in part], ROWS)
+    want = sorted(map(tuple, linkage.link_batches(bank, rows)[0].collect()))
+    monkeypatch.setattr(linkage, "MAX_BLOCK_PAIRS", 0)
+    assert sorted(map(tuple, linkage.link_batches(bank, rows)[0].collect())) == want and want
+
+
+def test_without_anything_to_learn_from_equal_words_repeat(spark):
+    bank = spark.createDataFrame([], BANK)
+    rows = spark.createDataFrame([(1, 1, "Who signs the form?", ["a#1"], 0), (2, 2, "who signs  the form", ["a#1"], 0), (3, 2, "Who signs a form?", ["a#1"], 0)], ROWS)
+    assert [tuple(r) for r in linkage.link_batches(bank, rows)[0].collect()] == [(1, 2)]
+
+
+def test_only_united_clusters_are_written(spark, tmp_path):
+    store = linkage.LinkStore(spark, f"file://{tmp_path}/s")
     link = lambda *rows: spark.createDataFrame(rows, "a long, b long")
-    named = lambda df: {r.node: r.component for r in df.collect()}
-    roots = linkage._merged(cuts, None, link((1, 11), (2, 12), (3, 13)))
-    assert named(roots) == {1: 1, 11: 1, 2: 2, 12: 2, 3: 3, 13: 3}
-    roots = linkage._merged(cuts, roots, link((2, 21), (3, 21), (4, 22), (1, 23)))
-    assert named(roots) == {1: 1, 11: 1, 23: 1, 2: 2, 12: 2, 3: 2, 13: 2, 21: 2, 4: 4, 22: 4}
-    assert named(linkage._merged(cuts, roots, link().limit(0))) == named(roots)
+    named = lambda: {r.id: r.cluster for r in store.clusters().collect()}
+
+    def unite(part, links):
+        store._unite(part, store.parts(), links, list(range(store.buckets)))
+        store._commit(part)
+
+    unite(1, link((1, 11), (2, 12), (3, 13)))
+    assert named() == {1: 1, 11: 1, 2: 2, 12: 2, 3: 3, 13: 3}
+    unite(2, link((2, 21), (3, 21), (4, 22), (1, 23)))
+    assert named() == {1: 1, 11: 1, 23: 1, 2: 2, 12: 2, 3: 2, 13: 2, 21: 2, 4: 4, 22: 4}
+    assert [tuple(r) for r in store.read("unions", parts=[2]).select("root", "now").collect()] == [(3, 2)]
+    unite(3, link((1, 31), (13, 31)))  # a member of a united cluster, with another one
+    assert named() == {x: 1 for x in (1, 11, 23, 2, 12, 3, 13, 21, 31)} | {4: 4, 22: 4}
+    assert sorted(tuple(r) for r in store.read("unions", parts=[3]).select("root", "now").collect()) == [(2, 1), (3, 1)]
+    before = named()
+    unite(4, link().limit(0))
+    assert named() == before
