@@ -146,12 +146,14 @@ def _repeat(q: str, fillers: list[str], rng: random.Random) -> str:
         if not any(ch.isdigit() for ch in toks[k] + toks[k + 1]):
             toks[k], toks[k + 1] = toks[k + 1], toks[k]
     extra = " ".join(rng.choice(fillers) for _ in range(rng.randint(1, 5)))
-    if rng.random() < 0.3:
+    if rng.random() < 0.35:
         toks = [extra.capitalize() + ",", *toks]
-    if rng.random() < 0.3:
-        toks = [*toks, extra.capitalize() + "."]
-    text = " ".join(toks)
-    return text.upper() if rng.random() < 0.1 else text
+    if rng.random() < 0.35:
+        toks = [*toks, " ".join(rng.choice(fillers) for _ in range(rng.randint(1, 5))).capitalize() + "."]
+    text, case = " ".join(toks), rng.random()
+    if case < 0.1:
+        return text.upper()
+    return "".join(c.swapcase() if rng.random() < 0.3 else c for c in text) if case < 0.2 else text
 
 
 def _other(q: str, names: list[str], rng: random.Random) -> str:
