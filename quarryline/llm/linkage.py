@@ -256,7 +256,7 @@ def _prepared(df: DataFrame, key: str) -> DataFrame:
     """(id, q, form, refs, same) of rows with words and references; same is equal for rows with the same words and references."""
     base = df.select(F.col(key).cast("long").alias("id"), F.coalesce("question", F.lit("")).alias("question"), canonical_refs(F.col("chunk_ids")).alias("refs"))
     text = canonical_texts(base, "question", "q").drop("question").withColumn("q", plain_numbers(F.col("q"))).withColumn("form", words(F.col("q")))
-    return text.where((F.size("refs") > 0) & (F.col("form") != "")).withColumn("same", fingerprint(F.concat_ws("\n", "form", F.array_join("refs", "\n"))))
+    return text.where((F.size("refs") > 0) & F.col("q").rlike(r"[\p{L}\p{N}]")).withColumn("same", fingerprint(F.concat_ws("\n", "form", F.array_join("refs", "\n"))))
 
 
 def _keys(df: DataFrame) -> DataFrame:
@@ -310,7 +310,7 @@ def _sized(df: DataFrame, n: int) -> DataFrame:
 
 TABLES = {
     "keys": "key long, id long, bucket int",
-    "members": "id long, kept array<long>, q string, form string, refs array<string>, bucket int",
+    "members": "id long, kept array<struct<id: long, refs: array<string>>>, q string, form string, refs array<string>, bucket int",
     "copies": "stand long, id long",
     "pairs": "kept_id long, dup_id long",
     "nodes": "node long, root long, bucket int",
@@ -387,7 +387,7 @@ class LinkStore:
         spark.createDataFrame([(bytearray(pickle.dumps((store.model, buckets))),)], "model binary").coalesce(1).write.mode("overwrite").parquet(f"{path}/model")
         mine, most, _ = store._stand_ins(rows)
         store._write("keys", 0, _keys(mine).withColumn("bucket", store._bucket("key")))
-        store._write("members", 0, mine.select("id", F.array("id").alias("kept"), "q", "form", "refs", store._bucket("id").alias("bucket")))
+        store._write("members", 0, mine.select("id", F.array(F.struct("id", "refs")).alias("kept"), "q", "form", "refs", store._bucket("id").alias("bucket")))
         store._copies(0, rows, mine, most)
         store._commit(0)
         return store
@@ -406,9 +406,10 @@ class LinkStore:
             several = mine.where("n > 1").select("same", F.col("id").alias("stand"), "n")
             self._write("copies", part, join_unique(rows.select("id", "same"), several, "same", "n", most))
 
-    def _hits(self, own: DataFrame, n_own: int, old: list[int], mine: DataFrame, n_mine: int) -> DataFrame:
+    def _hits(self, own: DataFrame, n_own: int, part: int, old: list[int], mine: DataFrame, n_mine: int) -> DataFrame:
         """(id, member) once each: rows of the batch with members that share a key. A key that pairs too many is split by words."""
-        touched = [r[0] for r in own.select("bucket").distinct().collect()]
+        folders = [f.getPath().getName() for f in self._fs.listStatus(self._at("keys", f"part={part}"))]
+        touched = [int(name.split("=")[1]) for name in folders if name.startswith("bucket=")]
         held = self.read("keys", touched, old).select("key", F.col("id").alias("member"))
         counts = own.groupBy("key").agg(F.count("*").alias("n"))
         sizes = held.join(_sized(counts, n_own), "key").groupBy("key").agg(F.count("*").alias("m"), F.max("n").alias("n"))
@@ -434,17 +435,16 @@ class LinkStore:
         mine, most, n_mine = self._stand_ins(rows)
         n_own = self._write("keys", part, _keys(mine).withColumn("bucket", self._bucket("key")), count=F.count("*"))["count"]
         own = self.read("keys", None, [part])
-        hits, seen = cuts.measured(self._hits(own, n_own, old, mine, n_mine), count=F.count("*"), buckets=F.collect_set(self._bucket("member")))
+        hits, seen = cuts.measured(self._hits(own, n_own, part, old, mine, n_mine), count=F.count("*"), buckets=F.collect_set(self._bucket("member")))
         texts = self.read("members", seen["buckets"] or [], old).select(F.col("id").alias("member"), F.col("q").alias("member_q"), F.col("form").alias("member_form"), F.col("refs").alias("member_refs"), "kept")
         pairs = texts.join(_sized(hits, seen["count"]), "member").join(_sized(mine.select("id", "q", "form", "refs", "same", "n"), n_mine), "id")
         alike = _scored(pairs.where(_overlap(F.col("form"), F.col("member_form"))), self.model, ["id", "refs", "same", "n", "kept"])
-        named = cuts.cut(alike.select("id", "refs", "same", "n", F.explode("kept").alias("kept_id")).distinct())
-        held = self.read("members", None, old).select(F.col("id").alias("kept_id"), F.col("refs").alias("kept_refs"))
-        tied = held.join(_sized(named, seen["count"]), "kept_id").where(F.arrays_overlap("refs", "kept_refs")).select("kept_id", "id", "same", "n")
+        tied = alike.select("id", "refs", "same", "n", F.explode("kept").alias("k")).where(F.arrays_overlap("refs", "k.refs"))
+        tied = tied.select("id", "same", "n", F.col("k.id").alias("kept_id"), F.col("k.refs").alias("kept_refs")).distinct()
         tied, seen = cuts.measured(tied, buckets=F.collect_set(self._bucket("kept_id")))
         self._write("pairs", part, join_unique(rows.select(F.col("id").alias("dup_id"), "same"), tied.select("same", "kept_id", "n"), "same", "n", most))
-        kept_of = tied.groupBy("id").agg(F.array_sort(F.collect_set("kept_id")).alias("of"))
-        fresh = mine.join(kept_of, "id", "left").select("id", F.coalesce("of", F.array("id")).alias("kept"), "q", "form", "refs", self._bucket("id").alias("bucket"))
+        kept_of = tied.groupBy("id").agg(F.collect_list(F.struct(F.col("kept_id").alias("id"), F.col("kept_refs").alias("refs"))).alias("of"))
+        fresh = mine.join(kept_of, "id", "left").select("id", F.coalesce("of", F.array(F.struct("id", "refs"))).alias("kept"), "q", "form", "refs", self._bucket("id").alias("bucket"))
         self._write("members", part, fresh)
         self._copies(part, rows, mine, most)
         self._unite(part, old, tied.select(F.col("kept_id").alias("a"), F.col("id").alias("b")), seen["buckets"] or [])
