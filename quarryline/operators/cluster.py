@@ -6,6 +6,8 @@ by grouping. Arrays of a cluster hold at most its chunks; its rows stay a table
 
 from __future__ import annotations
 
+import functools
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -117,6 +119,44 @@ def _split_from(kind: str) -> Column:
     return F.when(many, F.lit(names[kind])) if kind in names else F.lit(None).cast("string")
 
 
+def _of_kind(cuts: Cuts, live: DataFrame, at: int, kind: str, max_chunks: int, max_gap: int) -> tuple[DataFrame, DataFrame]:
+    """(clusters of one kind with the columns that order them, their seeds by group and split)."""
+    built = build(live, kind, max_chunks=max_chunks, max_gap=max_gap)
+    out, members, seeds = _assembled(cuts, built, live)
+    per_group = members.select("group", "split").distinct().groupBy("group").agg(F.count("*").alias("splits"))
+    sized = members.select("group", "chunk_id").distinct().groupBy("group").agg(F.count("*").alias("group_chunks")) if kind == "co_citation" else None
+    out = out.join(per_group, "group")
+    if sized is not None:
+        # A component is ordered by size, then by its least member, which no other component has.
+        out = out.join(sized.select("group", "group_chunks"), "group").withColumn("rank", F.struct((-F.col("group_chunks")).alias("size"), F.col("group").alias("name")))
+    elif kind == "doc_local_seen_chunks":
+        group = F.from_json("group", "doc_id string, _g long")
+        out = out.withColumn("rank", F.struct(group["_g"].alias("size"), group["doc_id"].alias("name")))
+    else:
+        out = out.withColumn("rank", F.struct((-F.col("group_rows")).alias("size"), F.lit("").alias("name")))
+    signature = F.from_json("group", "array<string>") if kind in ("exact_evidence_set", "doc_set", "multi_doc_bridge") else F.array().cast("array<string>")
+    first = F.col("rank.name") if kind == "doc_local_seen_chunks" else F.lit("")
+    part = out.select(
+        F.lit(at).alias("kind_at"),
+        first.alias("by_name"),
+        F.col("rank.size").alias("by_size"),
+        F.when(F.lit(kind == "co_citation"), F.col("rank.name")).otherwise(F.lit("")).alias("by_member"),
+        signature.alias("by_signature"),
+        "split",
+        "group",
+        F.lit(kind).alias("cluster_kind"),
+        "chunk_ids",
+        "doc_ids",
+        F.coalesce("source_pipelines", F.array().cast("array<string>")).alias("source_pipelines"),
+        _split_from(kind).alias("split_from"),
+        "row_count",
+        "unique_question_count",
+    )
+    keyed = seeds.select(F.lit(kind).alias("cluster_kind"), "group", "split", "train_key")
+    part = cuts.cut(part)  # plans stay small, and the sort below reads a table
+    return part, keyed
+
+
 def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MAX_GAP, kinds: tuple[str, ...] = tuple(KINDS), fixed_density: bool = False) -> tuple[DataFrame, DataFrame]:
     """(clusters, seeds) of training rows. seeds: cluster_id, train_key.
 
@@ -126,46 +166,12 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
     """
     cuts = Cuts(rows.sparkSession, "clusters")
     live = cuts.cut(rows.where("not is_dup"))
-    weighted = cuts.cut(graph.edges(citations(live)))
-    found, tied = None, None
-    for at, kind in enumerate(KINDS):
-        if kind not in kinds:
-            continue
-        built = build(live, kind, max_chunks=max_chunks, max_gap=max_gap)
-        out, members, seeds = _assembled(cuts, built, live)
-        per_group = members.select("group", "split").distinct().groupBy("group").agg(F.count("*").alias("splits"))
-        sized = members.select("group", "chunk_id").distinct().groupBy("group").agg(F.count("*").alias("group_chunks")) if kind == "co_citation" else None
-        out = out.join(per_group, "group")
-        if sized is not None:
-            # A component is ordered by size, then by its least member, which no other component has.
-            out = out.join(sized.select("group", "group_chunks"), "group").withColumn("rank", F.struct((-F.col("group_chunks")).alias("size"), F.col("group").alias("name")))
-        elif kind == "doc_local_seen_chunks":
-            group = F.from_json("group", "doc_id string, _g long")
-            out = out.withColumn("rank", F.struct(group["_g"].alias("size"), group["doc_id"].alias("name")))
-        else:
-            out = out.withColumn("rank", F.struct((-F.col("group_rows")).alias("size"), F.lit("").alias("name")))
-        signature = F.from_json("group", "array<string>") if kind in ("exact_evidence_set", "doc_set", "multi_doc_bridge") else F.array().cast("array<string>")
-        first = F.col("rank.name") if kind == "doc_local_seen_chunks" else F.lit("")
-        part = out.select(
-            F.lit(at).alias("kind_at"),
-            first.alias("by_name"),
-            F.col("rank.size").alias("by_size"),
-            F.when(F.lit(kind == "co_citation"), F.col("rank.name")).otherwise(F.lit("")).alias("by_member"),
-            signature.alias("by_signature"),
-            "split",
-            "group",
-            F.lit(kind).alias("cluster_kind"),
-            "chunk_ids",
-            "doc_ids",
-            F.coalesce("source_pipelines", F.array().cast("array<string>")).alias("source_pipelines"),
-            _split_from(kind).alias("split_from"),
-            "row_count",
-            "unique_question_count",
-        )
-        keyed = seeds.select(F.lit(kind).alias("cluster_kind"), "group", "split", "train_key")
-        part = cuts.cut(part)  # plans stay small, and the sort below reads a table
-        found = part if found is None else found.unionByName(part)
-        tied = keyed if tied is None else tied.unionByName(keyed)
+    # The kinds do not depend on each other: their many small jobs share the executors.
+    with ThreadPoolExecutor(len(KINDS) + 1) as pool:
+        edges = pool.submit(lambda: cuts.cut(graph.edges(citations(live))))
+        made = [pool.submit(_of_kind, cuts, live, at, kind, max_chunks, max_gap) for at, kind in enumerate(KINDS) if kind in kinds]
+        parts, weighted = [m.result() for m in made], edges.result()
+    found, tied = (functools.reduce(DataFrame.unionByName, side) for side in zip(*parts, strict=True))
     numbered = with_ordinal(found, [F.col(c) for c in ("kind_at", "by_name", "by_size", "by_member", "by_signature", "split")])
     prefix = F.element_at(F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair]), F.col("cluster_kind"))
     numbered = cuts.cut(numbered.withColumn("cluster_id", F.format_string("eqg_%s_%06d", prefix, "ordinal")))

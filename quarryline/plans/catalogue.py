@@ -13,7 +13,7 @@ from ..operators import cluster, delta, docfigures, graph, profile
 from ..runtime import load
 from ..sources import raw_records
 from ..sources.training import citations, training
-from . import oracles, oracles_clusters, oracles_units, units
+from . import oracles, oracles_clusters, oracles_units, stored, units
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +32,8 @@ def p7_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docfigures.doc_figures(load(spark, sf_dir, "training_rows"))
 
 
-def _rows(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFrame:
-    return training(load(spark, sf_dir, "training_rows"), with_keys)
+def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training(load(spark, sf_dir, "training_rows"), False)
 
 
 def _of_rows(operator: Callable[..., DataFrame], **options) -> Callable[[SparkSession, str], DataFrame]:
@@ -42,13 +42,13 @@ def _of_rows(operator: Callable[..., DataFrame], **options) -> Callable[[SparkSe
 
 def _snapshots(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str]:
     """(rows of the latest snapshot, ledger of the earlier ones, its name)."""
-    rows = _rows(spark, sf_dir, True)
+    rows = stored.rows(spark, sf_dir).select("record_number", "snapshot_id", "train_key", "doc_key")
     latest = load(spark, sf_dir, "training_rows").agg(F.max("snapshot_id")).first()[0] or ""
     return rows.where(F.col("snapshot_id") == latest), delta.current_keys(rows.where(F.col("snapshot_id") < latest)), latest
 
 
 def train_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, sf_dir, True).select("record_number", "train_key", "doc_key")
+    return training(load(spark, sf_dir, "training_rows")).select("record_number", "train_key", "doc_key")
 
 
 def eval_question_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,24 +84,26 @@ def flat_clusters(found: DataFrame) -> DataFrame:
 
 def _of_kind(kind: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found, _ = cluster.clusters(_rows(spark, sf_dir, True))
+        found, _ = stored.clusters(spark, sf_dir)
         return flat_clusters(found.where(F.col("cluster_kind") == kind))
 
     return run
 
 
 def cluster_edge_density_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.clusters(_rows(spark, sf_dir, True), fixed_density=True)[0].select("cluster_id", "edge_density")
+    """Densities with edges looked up in both orders, for the same clusters."""
+    members = stored.clusters(spark, sf_dir)[0].select(F.col("cluster_id").alias("cluster"), F.explode("chunk_ids").alias("chunk_id"))
+    return graph.densities(members, graph.edges(_live(spark, sf_dir)), fixed=True).withColumnRenamed("cluster", "cluster_id")
 
 
 def cluster_kind_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cluster.kind_summary(cluster.clusters(_rows(spark, sf_dir, True))[0])
+    return cluster.kind_summary(stored.clusters(spark, sf_dir)[0])
 
 
 def focused_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clusters with a seed that some row marked as a duplicate also has."""
-    rows = _rows(spark, sf_dir, True)
-    found, seeds = cluster.clusters(rows)
+    rows = stored.rows(spark, sf_dir)
+    found, seeds = stored.clusters(spark, sf_dir)
     return cluster.final_order(cluster.focused(found, seeds, rows.where("is_dup"))).select("cluster_id", "cluster_kind", "row_count", "chunk_count")
 
 

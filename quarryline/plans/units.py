@@ -8,22 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.chunks import canonical_ref, ref_doc, ref_index
-from ..operators import assign, cluster, export, hydrate, replies, select, validate
+from ..operators import assign, export, hydrate, replies, select, validate
 from ..runtime import load
-from ..sources.training import _listed, training
+from ..sources.training import _listed
+from . import stored
 from .oracles_units import DISTINCT_LIMIT, MEMORY_LIMIT, RELATED_LIMIT, REPLY
 
 SELECTED = 200
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return training(load(spark, sf_dir, "training_rows"))
+    return stored.rows(spark, sf_dir)
 
 
 def _units(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(work units, seeds of clusters)."""
-    found, seeds = cluster.clusters(_training(spark, sf_dir))
-    return assign.split_units(found), seeds
+    return stored.units(spark, sf_dir), stored.clusters(spark, sf_dir)[1]
 
 
 def _bars(df: DataFrame, *columns: str) -> DataFrame:

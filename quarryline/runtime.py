@@ -70,6 +70,11 @@ def clear_scratch(spark: SparkSession) -> None:
     drop_path(spark, f"{shared_dir(spark)}/{spark.sparkContext.applicationId}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
