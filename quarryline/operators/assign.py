@@ -23,7 +23,7 @@ def kind_rank(kind: Column) -> Column:
     return out
 
 
-def split_units(found: DataFrame, *, max_chunks: int = MAX_CHUNKS, prefix: str = "asg") -> DataFrame:
+def split_units(found: DataFrame, *, max_chunks: int = MAX_CHUNKS, prefix: str = "asg", split_label: str = "microcluster_budget") -> DataFrame:
     """Clusters in priority order, each cut into slices of max_chunks in chunk order, all slices numbered.
 
     Adds assignment_id, part (from 1), parent_cluster_id; slices of a larger cluster get `_partNN` ids and keep the support of
@@ -40,7 +40,7 @@ def split_units(found: DataFrame, *, max_chunks: int = MAX_CHUNKS, prefix: str =
             "parent_cluster_id": F.col("cluster_id"),
             "unit_cluster_id": F.when(many, F.format_string("%s_part%02d", "cluster_id", "part")).otherwise(F.col("cluster_id")),
             "unit_doc_ids": F.when(many, F.array_sort(F.array_distinct(F.transform("chunk_ids", ref_doc)))).otherwise(F.col("doc_ids")),
-            "split_from": F.when(many, F.coalesce("split_from", F.lit("microcluster_budget"))).otherwise(F.col("split_from")),
+            "split_from": F.when(many, F.coalesce("split_from", F.lit(split_label))).otherwise(F.col("split_from")),
         }
     )
     order = [kind_rank(F.col("cluster_kind")), -F.size("doc_ids"), F.size("_all"), F.col("cluster_id"), F.col("part")]

@@ -84,11 +84,11 @@ def write_jsonl(rows: DataFrame, path: str, append: bool = False) -> None:
     rows.write.mode("append" if append else "overwrite").option("ignoreNullFields", False).json(path)
 
 
-def write_summary(row: DataFrame, path: str) -> None:
-    """A table of one row as an indented JSON file on the driver's disk."""
+def write_summary(row: DataFrame, path: str, sort_keys: bool = False) -> None:
+    """A table of one row as an indented JSON file on the driver's disk, keys in order where asked for."""
     first = row.limit(1).collect()
     with open(path, "w", encoding="utf-8") as out:
-        json.dump(first[0].asDict(True) if first else {}, out, indent=2, ensure_ascii=False)
+        json.dump(first[0].asDict(True) if first else {}, out, indent=2, ensure_ascii=False, sort_keys=sort_keys, default=str)
 
 
 def fail_closed(rows: DataFrame, status: str = "status", version: str | None = None) -> DataFrame:

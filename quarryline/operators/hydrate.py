@@ -64,8 +64,8 @@ def hydrate(chunks: DataFrame, store: DataFrame, documents: DataFrame) -> DataFr
     return both.select("chunk_id", "doc_id", status.alias("hydration_status"), fetch.alias("fetch_status"), F.col("fetch_error_kind"), text.alias("text")).withColumn("text_sha256", F.sha2("text", 256))
 
 
-def unit_status(units: DataFrame, hydrated: DataFrame) -> DataFrame:
-    """(assignment_id, status, chunks, missing): ok where no chunk is missing, else the gravest cause."""
+def unit_status(units: DataFrame, hydrated: DataFrame, label: str = "store") -> DataFrame:
+    """(assignment_id, status, chunks, missing): ok where no chunk is missing, else the gravest cause. Causes of the chunk store begin with its label."""
     one = units.select("assignment_id", F.explode("chunk_ids").alias("chunk_id")).join(hydrated, "chunk_id", "left")
     some = lambda cond: F.coalesce(F.max(F.when(cond, 1)), F.lit(0))
     flags = one.groupBy("assignment_id").agg(
@@ -78,6 +78,6 @@ def unit_status(units: DataFrame, hydrated: DataFrame) -> DataFrame:
         some(F.col("fetch_status") == "no_hit").alias("no_hit"),
         some(F.col("hydration_status") == "missing_chunk").alias("gap"),
     )
-    status = F.when(F.col("missing") == 0, "ok").when(F.col("blocked") == 1, "store_access_blocked").when(F.col("unreachable") == 1, "store_unreachable").when(F.col("error") == 1, "store_fetch_error")
-    status = status.when(F.col("wrong") == 1, "store_wrong_doc").when(F.col("no_hit") == 1, "store_doc_missing").when(F.col("gap") == 1, "missing_chunks").otherwise("hydration_incomplete")
+    status = F.when(F.col("missing") == 0, "ok").when(F.col("blocked") == 1, f"{label}_access_blocked").when(F.col("unreachable") == 1, f"{label}_unreachable").when(F.col("error") == 1, f"{label}_fetch_error")
+    status = status.when(F.col("wrong") == 1, f"{label}_wrong_doc").when(F.col("no_hit") == 1, f"{label}_doc_missing").when(F.col("gap") == 1, "missing_chunks").otherwise("hydration_incomplete")
     return flags.select("assignment_id", status.alias("status"), "chunks", "missing")

@@ -59,6 +59,11 @@ def numeric_summary(values: DataFrame, column: str) -> DataFrame:
     )
 
 
+def extent(values: DataFrame, column: str) -> DataFrame:
+    """One row: min and max; 0 for no values."""
+    return values.agg(F.coalesce(F.min(column), F.lit(0)).alias("min"), F.coalesce(F.max(column), F.lit(0)).alias("max"))
+
+
 def citation_summaries(rows: DataFrame) -> DataFrame:
     """numeric_summary of chunk references a row, documents a row, and uses of each normalised question."""
     reuse = question_uses(rows).select(F.col("uses").alias("v"))
