@@ -84,7 +84,30 @@ def signatures(c: str) -> str:
     order by n desc, len(s), s limit 20"""
 
 
+_TEXT = r"""list_transform(regexp_extract_all(',' || line, ',("([^"]|"")*"|[^",]*)', 1), lambda f: case when f[1] = '"' then replace(f[2 : -2], '""', '"') else f end)"""
+PARSED = rf"""lines as (select csv_line_number, regexp_replace(coalesce(raw_line, ''), '\r$', '') line from raw_training_lines),
+split as (select csv_line_number, line, regexp_full_match(line, '("([^"]|"")*"|[^",]*)(,("([^"]|"")*"|[^",]*))*') sound from lines),
+fielded as (select csv_line_number, line, sound, case when sound then {_TEXT} else [] end f,
+  sound and len(list_filter(regexp_extract_all(',' || line, ',("([^"]|"")*"|[^",]*)', 1), lambda f: f[1] <> '"' and regexp_matches(f, '[\r\n]'))) > 0 broken from split),
+kinds as (select *, case when not sound then 'broken_quoting' when broken or len(f) <> 8 then 'column_count' end whole from fielded),
+arrays as (select csv_line_number, u.field, u.txt, case when {strip("u.txt")} = '' then 'blank' when not json_valid(u.txt) or regexp_matches(u.txt, ',\s*\]\s*$') then 'invalid_json' when json_type(u.txt) <> 'ARRAY' then 'not_an_array' else 'array' end kind
+  from kinds, lateral (values ('docIds', f[3]), ('chunk_ids', f[4])) u(field, txt) where whole is null),
+items as (select csv_line_number, field, unnest(json_extract(txt, '$[*]')) j from arrays where kind = 'array'),
+texts as (select csv_line_number, field, json_type(j) t, json_extract_string(j, '$') s from items),
+cited as (select csv_line_number, s, {strip("regexp_extract(s, '(?s)^(.*)#[^#]*$', 1)")} doc, {strip("regexp_extract(s, '(?s)#([^#]*)$', 1)")} idx from texts where t = 'VARCHAR' and field = 'chunk_ids' and {strip("s")} <> ''),
+issues as (select csv_line_number, 'record' field, whole error from kinds where whole is not null
+ union select csv_line_number, field, kind from arrays where kind in ('invalid_json', 'not_an_array') union select csv_line_number, field, 'item_not_string' from texts where t <> 'VARCHAR'
+ union select csv_line_number, 'chunk_ids', case when not contains(s, '#') then 'no_hash' when doc = '' then 'empty_doc' when not regexp_full_match(idx, '[+-]?[0-9]+') then 'index_not_integer' when idx[1] = '-' and regexp_matches(idx, '[1-9]') then 'index_negative' else '' end from cited
+ union select csv_line_number, 'source_row_number', 'not_an_integer' from kinds where whole is null and {strip("f[6]")} <> '' and not regexp_full_match({strip("f[6]")}, '[0-9]+')
+ union select csv_line_number, 'is_exact_duplicate', 'not_a_boolean' from kinds where whole is null and {strip("f[7]")} <> '' and lower({strip("f[7]")}) not in ('true', 'false', 'yes', 'no', 'y', 'n', '1', '0'))"""
+
 ORACLES = {
+    "p6_found": f"with {PARSED} select csv_line_number, field, error from issues where error <> ''",
+    "p6_loaded": f"""with {PARSED} select k.csv_line_number, f[1] question, f[2] answer,
+      coalesce((select list({strip("s")}) from texts t where t.csv_line_number = k.csv_line_number and field = 'docIds' and {strip("s")} <> ''), []) doc_ids,
+      coalesce((select list(doc || '#' || case when ltrim(ltrim(idx, '+-'), '0') = '' then '0' else ltrim(ltrim(idx, '+-'), '0') end) from cited t where t.csv_line_number = k.csv_line_number), []) chunk_ids,
+      f[5] pipeline, f[6] source_row_number, lower({strip("f[7]")}) in ('true', 'yes', 'y', '1') is_exact_duplicate, f[8] duplicate_of_row
+      from kinds k where whole is null and csv_line_number not in (select csv_line_number from issues where error <> '')""",
     "source_row_counts": f"""with {TRAINING}
      select count(*) total, count(*) filter (not is_dup) non_duplicate, count(*) filter (is_dup) exact_duplicate,
       count(*) filter (len(doc_ids) = 0) rows_missing_doc_ids, count(*) filter (len(chunk_ids) = 0) rows_missing_chunk_ids from training""",
