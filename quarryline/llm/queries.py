@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..runtime import load
-from . import canonical, collapse, defects, groups, leaks, linkage, mixing, packing
+from . import canonical, collapse, defects, groups, leaks, linkage, mixing, oracles, packing
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,4 +84,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.ORACLES
