@@ -19,6 +19,7 @@ from ..runtime import Cuts
 from ..sources.training import citations
 from . import graph
 from .ordinals import with_ordinal
+from .skew import join_unique
 
 MAX_CHUNKS = 30
 MAX_GAP = 3
@@ -39,7 +40,7 @@ class Built:
 def _split_keys(members: DataFrame, max_chunks: int) -> DataFrame:
     """members (group, chunk_id, doc_id, chunk_index) with `split` and `split_count`: one split up to max_chunks, else slices of max_chunks by document."""
     sizes = members.groupBy("group").agg(F.count("*").alias("group_size"))
-    sized = members.join(sizes, "group")
+    sized = join_unique(members, sizes.withColumn("n", F.col("group_size")), "group", "n")
     rn = F.row_number().over(Window.partitionBy("group", "doc_id").orderBy("chunk_index", "chunk_id"))
     small = sized.where(F.col("group_size") <= max_chunks).withColumn("split", F.struct(F.lit("").alias("doc"), F.lit(0).cast("long").alias("slice")))
     large = sized.where(F.col("group_size") > max_chunks).withColumn("split", F.struct(F.col("doc_id").alias("doc"), F.floor((rn - 1) / max_chunks).cast("long").alias("slice")))

@@ -10,20 +10,21 @@ from pyspark.sql import functions as F
 from ..functions.keys import question_hash
 from ..functions.text import normalized_question
 from ..sources.training import strip
+from .skew import join_unique
 
 
 def keep_first(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key that is not null. A minimum by key combines on the map side, so a hot key costs one row a task."""
-    first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*order)).alias("_first"))
-    return rows.join(first.select(F.col(key).alias("_k"), "_first"), (F.col(key) == F.col("_k")) & (F.struct(*order) == F.col("_first")), "left_semi")
+    """The first row of each key that is not null. The minimum by key combines on the map side, so a hot key costs one row a task."""
+    first = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_first"))
+    return first.select("_first.*")
 
 
 def export_status(rows: DataFrame, order: list[str]) -> DataFrame:
     """rows with `export_status`: accepted, empty_question or duplicate_final_question; of equal normalised questions the first is accepted."""
     key = normalized_question(F.coalesce("question", F.lit("")))
     marked = rows.withColumn("_q", key)
-    first = marked.where("_q <> ''").groupBy("_q").agg(F.min(F.struct(*order)).alias("_first"))
-    both = marked.join(first, "_q", "left")
+    first = marked.groupBy("_q").agg(F.min(F.struct(*order)).alias("_first"), F.count("*").alias("_n"))
+    both = join_unique(marked, first, "_q", "_n")
     status = F.when(F.col("_q") == "", "empty_question").when(F.struct(*order) == F.col("_first"), "accepted").otherwise("duplicate_final_question")
     return both.withColumn("export_status", status).drop("_q", "_first")
 
@@ -36,8 +37,7 @@ def effective_hash(question: Column, stored: Column) -> Column:
 def append_new(existing: DataFrame, fresh: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows of fresh to append: keys that existing lacks, the first row of each. Appending twice adds nothing."""
     unseen = fresh.join(existing.select(*keys).distinct(), keys, "left_anti")
-    first = unseen.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_first"))
-    return unseen.join(first, keys).where(F.struct(*order) == F.col("_first")).drop("_first")
+    return unseen.groupBy(*keys).agg(F.min_by(F.struct(*unseen.columns), F.struct(*order)).alias("_first")).select("_first.*")
 
 
 def bank_subset(bank: DataFrame, training: DataFrame, *, contained: bool = False, limit: int | None = None) -> DataFrame:

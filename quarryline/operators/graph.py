@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..runtime import Cuts
 from .components import components, star_edges
 from .ordinals import with_ordinal
+from .skew import join_unique
 
 
 def chunk_order(chunk: Column, doc: Column, index: Column) -> Column:
@@ -34,13 +36,15 @@ def chunk_components(cited: DataFrame) -> DataFrame:
     links = cited.select("record_number", "chunk_id").join(nodes, "chunk_id").select(F.col("record_number").alias("key"), "node")
     named = components(star_edges(links))
     tied = nodes.join(named, "node", "left").select("chunk_id", F.coalesce("component", "node").alias("c"))
-    return tied.join(nodes.select(F.col("node").alias("c"), F.col("chunk_id").alias("component")), "c").select("chunk_id", "component")
+    sizes = tied.groupBy("c").agg(F.count("*").alias("n")).join(nodes.select(F.col("node").alias("c"), F.col("chunk_id").alias("component")), "c")
+    sizes, seen = Cuts(cited.sparkSession, "graph").measured(sizes, most=F.max("n"))
+    return join_unique(tied, sizes, "c", "n", seen["most"]).select("chunk_id", "component")
 
 
 def component_sizes(members: DataFrame) -> DataFrame:
     """(chunk_id, component, size) for components of two or more chunks."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size")).where("size > 1")
-    return members.join(sizes, "component").select("chunk_id", "component", "size")
+    return join_unique(members, sizes.withColumn("n", F.col("size")), "component", "n").select("chunk_id", "component", "size")
 
 
 def densities(members: DataFrame, weighted: DataFrame, fixed: bool = False) -> DataFrame:
