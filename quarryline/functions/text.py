@@ -24,7 +24,7 @@ def is_ascii(c: Column) -> Column:
 
 @functools.cache
 def _casefold_rules() -> tuple[str, str, list[tuple[str, str]], str]:
-    """(letters that fold to one, what they fold to, pairs of those that fold to more, class of letters that lower case leaves wrong), by rule from Unicode."""
+    """(letters that fold to one, what they fold to, pairs of those that fold to more, letters that lower case leaves wrong), by rule from Unicode."""
     one, several, wrong = {}, [], []
     for code in range(0x80, sys.maxunicode + 1):
         c = chr(code)
@@ -37,7 +37,7 @@ def _casefold_rules() -> tuple[str, str, list[tuple[str, str]], str]:
             one[c] = f
         if f != c.lower() and c not in "ßẞſςΣ":
             wrong.append(c)
-    return "".join(one), "".join(one.values()), several, "[" + "".join(f"\\x{{{ord(c):x}}}" for c in wrong) + "]"
+    return "".join(one), "".join(one.values()), several, "".join(wrong)
 
 
 def fold(c: Column) -> Column:
@@ -47,7 +47,7 @@ def fold(c: Column) -> Column:
     pairs = F.split(F.lit(" ".join(a + b for a, b in several)), " ")
     single = F.translate(c, one + string.ascii_uppercase, to + string.ascii_lowercase)
     table = F.aggregate(pairs, single, lambda acc, x: F.replace(acc, F.substring(x, 1, 1), F.substring(x, 2, 9)))
-    return F.when(is_ascii(c), F.lower(c)).when(c.rlike(wrong), table).otherwise(usual)
+    return F.when(is_ascii(c), F.lower(c)).when(F.translate(c, wrong, "") != c, table).otherwise(usual)
 
 
 def normalized_question(c: Column) -> Column:

@@ -102,10 +102,10 @@ def _assembled(cuts: Cuts, built: Built, rows: DataFrame) -> tuple[DataFrame, Da
         sets = sets.where(F.size("chunk_ids") > 1)
     if built.kind == "multi_doc_bridge":
         sets = sets.where(F.size("doc_ids") > 1)
-    touched = cuts.cut(built.rows.join(rows.select("record_number", "train_key", "pipeline", "question"), "record_number"))
+    touched = cuts.cut(built.rows.join(rows.select("record_number", "train_key", "pipeline", "question_key"), "record_number"))
     seeds = touched.select(*key, "train_key").distinct()
     counts = seeds.groupBy(*key).agg(F.count("*").alias("row_count"))
-    questions = touched.where("question <> ''").select(*key, normalized_question(F.col("question")).alias("q")).distinct().groupBy(*key).agg(F.count("*").alias("unique_question_count"))
+    questions = touched.where("question_key is not null").select(*key, "question_key").distinct().groupBy(*key).agg(F.count("*").alias("unique_question_count"))
     sources = touched.where("pipeline <> ''").select(*key, "pipeline").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("pipeline")).alias("source_pipelines"))
     out = sets.join(counts, key).join(questions, key, "left").join(sources, key, "left")
     out = out.join(built.group_rows, "group") if built.group_rows is not None else out.withColumn("group_rows", F.lit(0).cast("long"))
@@ -166,7 +166,9 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
     order, ties resolved by signature; row_count counts distinct train keys. Kinds that are left out consume no numbers.
     """
     cuts = Cuts(rows.sparkSession, "clusters")
-    live = cuts.cut(rows.where("not is_dup"))
+    # Questions travel as 128 bits of their normal form, which is made once a row.
+    asked = F.when(F.col("question") != "", F.unhex(F.md5(normalized_question(F.col("question")))))
+    live = cuts.cut(rows.where("not is_dup").select("record_number", "train_key", "pipeline", "evidence_signature", "doc_set_signature", asked.alias("question_key")))
     # The kinds do not depend on each other: their many small jobs share the executors.
     with ThreadPoolExecutor(len(KINDS) + 1) as pool:
         edges = pool.submit(lambda: cuts.cut(graph.edges(citations(live))))
