@@ -103,6 +103,20 @@ def memory_records(candidates: DataFrame, cards: DataFrame, run_dir: str, create
     )
 
 
+def last_cards(cards: DataFrame, order: str) -> DataFrame:
+    """One card for each assignment, the last by `order`; cards without an id are left out."""
+    named = cards.where(F.coalesce("assignment_id", F.lit("")) != "")
+    return named.groupBy("assignment_id").agg(F.max_by(F.struct(*named.columns), order).alias("_card")).select("_card.*")
+
+
+def require_cards(cards: DataFrame) -> DataFrame:
+    """cards, if there are any and each has an id; else an error."""
+    counted = cards.agg(F.count("*").alias("n"), F.coalesce(F.sum((F.coalesce("assignment_id", F.lit("")) == "").cast("long")), F.lit(0)).alias("unnamed")).first()
+    if not counted.n or counted.unnamed:
+        raise ValueError(f"{counted.unnamed} of {counted.n} cards have no id" if counted.n else "there are no cards")
+    return cards
+
+
 def missing_assignments(cards: DataFrame, wanted: list[str]) -> list[str]:
     """Those of a given list of assignment ids that no card has."""
     known = {r[0] for r in cards.where(F.col("assignment_id").isin(wanted)).select("assignment_id").distinct().collect()} if wanted else set()

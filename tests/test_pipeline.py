@@ -48,6 +48,15 @@ def test_collection(spark):
     assert collect.picked(known, [], done=known).count() == 0 and collect.picked(known, ["a1"], limit=5).count() == 1
 
 
+def test_cards_by_id(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("b", 2, None), ("", 4, "z"), (None, 5, "z")], "assignment_id string, at int, v string").repartition(3)
+    assert sorted(tuple(r) for r in collect.last_cards(df, "at").collect()) == [("a", 3, "y"), ("b", 2, None)]
+    for bad in (df, df.limit(0)):
+        with pytest.raises(ValueError, match="cards"):
+            collect.require_cards(bad)
+    assert collect.require_cards(collect.last_cards(df, "at")).count() == 2
+
+
 def test_column_rules(spark):
     texts = ['{"question":"q","answer":null,"docIds":["d"],"chunk_ids":["d#1"],"pipeline":""}', '{"docIds":"[]","chunk_ids":[1]}', "{}"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "row_id long, t string").withColumn("record", F.try_parse_json("t"))
