@@ -113,3 +113,55 @@ def test_features_do_not_depend_on_the_batch(model):
     whole = model.defects(q, a)
     parts = np.concatenate([model.defects(q[i : i + 7], a[i : i + 7]) for i in range(0, 50, 7)])
     assert (whole == parts).all()
+
+
+def test_every_row_counts_in_training(spark):
+    """German stands only in the 900 of 13,000 rows with the greatest hash of their key."""
+    from pyspark.sql import functions as F
+
+    keys = [r[0] for r in spark.range(13_000).orderBy(F.xxhash64("id").desc()).collect()]
+    english = [x for x in pairs(18_000, 6) if x[0].split(" ")[0] in ("By", "How", "Who", "Why")]
+    q, a = PAIRS["de"][0]
+    fills = [{"f": NAMES[i % 5], "y": 2018 + i % 13, "n": 1000 + 7 * i, "d": 2 + i % 27} for i in range(900)]
+    german = [(q.format(**x), a.format(**x)) for x in fills]
+    rows = [(k, *p) for k, p in zip(keys, german + english, strict=False)]
+    assert len(rows) == 13_000
+    model = defects.train(spark.createDataFrame(rows, "record_number long, question string, answer string").repartition(3))
+    found_in = lambda some: [defects.LABELS[k] if k >= 0 else None for k in model.defects(*(pa.array([r[i] for r in some], pa.string()) for i in (0, 1)))]
+    assert found_in(german[:50]) == [None] * 50
+    assert found_in([(g[0], e[1]) for g, e in zip(german[:50], [x for x in english if "Board set" in x[1]], strict=False)]) == ["wrong_language"] * 50
+
+
+def test_sums_of_parts_are_those_of_the_whole():
+    some = pairs(300, 8)
+    whole = defects.count_languages(*defects._columns(some))
+    parts = [defects.count_languages(*defects._columns(some[i : i + 70])) for i in range(0, 300, 70)]
+    for k in range(2):
+        assert (whole[k] == sum(p[k] for p in parts)).all()
+    texts = [t for p in some for t in p]
+    names = [defects._LANGUAGES[k] if k >= 0 else None for k in defects.tongues_of(defects._Side(pa.array(texts)))]
+    assert names == [defects.language(t) for t in texts]
+
+
+def test_thresholds_from_counted_scores():
+    rng = np.random.default_rng(2)
+    scores = np.rint(np.concatenate([rng.normal(-9, 1, 9800), rng.normal(4, 1, 200)]) * 64) / 64
+    values, times = np.unique(scores, return_counts=True)
+    share = defects.expected_share(values, 0.17, times=times)
+    assert share == pytest.approx(defects.expected_share(scores, 0.17))
+    assert defects.parting(values, 3.0, times) == pytest.approx(defects.parting(scores, 3.0))
+
+
+def test_a_frequent_short_answer_is_sound():
+    some = pairs(1500, 1)
+    yes = [(f"Does {f} hold a licence under AB/{y}/{n}?", "Yes") for f in NAMES for y in range(2018, 2024) for n in (1234, 5678, 9012)]
+    model = defects.fit(sorted(set(some + yes)))
+    assert found(model, yes) == [None] * len(yes)
+
+
+def test_the_model_does_not_depend_on_partitions(spark):
+    rows = [(i, q, a) for i, (q, a) in enumerate(pairs(500, 9))] * 2 + [(900, None, "x"), (901, "q", None), (902, "", "")]
+    df = spark.createDataFrame(rows, "record_number long, question string, answer string")
+    one, other = (defects.train(df.repartition(n), block_rows=60) for n in (1, 7))
+    assert (one.weights == other.weights).all() and (one.thresholds == other.thresholds).all()
+    assert one.weights.any()
