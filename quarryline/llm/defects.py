@@ -8,6 +8,7 @@ scores of all rows, each by the weights of blocks that do not hold it. All rows
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 import random
@@ -39,8 +40,9 @@ LEAST_SHARE = 1e-4  # a defect is expected in no smaller share of the rows, what
 KNOWN_SHARE = 1e-4  # a word is known in a language if it is in more than such a share of all texts (and in three)
 PRESENT_SHARE = 1e-3  # a language with less than such a share of all words (and 500) is none of the table
 GRID = 1 << 20  # weights are summed as whole multiples of 1 / GRID, so that no order of the blocks changes a sum
+STEADY, LEAST_FALL, CLEANING_FALL = 3, 0.005, 0.05  # a fit ends when so many steps together lower its loss by less than such a share; one that only cleans
 BINS, BIN = 1 << 13, 1 / 64  # scores are counted by bins of this width, those beyond in the outer ones
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 
 # Common words of languages, by which texts are told apart; what is like none of them is judged by strange words and scripts.
 COMMON = {
@@ -123,21 +125,40 @@ _SCRIPT_STARTS = np.array([x[0] for x in SCRIPTS])
 _SCRIPT_NAMES = sorted({x[1] for x in SCRIPTS})
 _SCRIPT_AT = np.array([_SCRIPT_NAMES.index(x[1]) for x in SCRIPTS])
 _JOINED = [_SCRIPT_NAMES.index(x) for x in ("han", "kana", "thai")]
-_CHOICE = re.compile(r"\(([^()]*\|[^()]*)\)")
-
-
-def spun(template: str, rng: random.Random) -> str:
-    """A template with one part of each choice, inner ones first; at the top, bars part whole sentences."""
-    while found := _CHOICE.search(template):
-        template = template[: found.start()] + rng.choice(found[1].split("|")) + template[found.end() :]
-    return rng.choice(template.split("|"))
+@functools.cache
+def _choices(template: str) -> list[list]:
+    """The sentences of a template, each a list of texts and of choices of the same form."""
+    top: list[list] = [[]]
+    around = []
+    for part in re.split(r"([()|])", template):
+        if part == "(":
+            around.append(top)
+            top = [[]]
+        elif part == ")":
+            top, inner = around.pop(), top
+            top[-1].append(inner)
+        elif part == "|":
+            top.append([])
+        elif part:
+            top[-1].append(part)
+    return top
+
+
+def _one_of(some: list, rng: random.Random):
+    return some[int(rng.random() * len(some))]
+
+
+def spun(template: str | list, rng: random.Random) -> str:
+    """A template with one part of each choice; at the top, bars part whole sentences."""
+    said = _one_of(_choices(template) if isinstance(template, str) else template, rng)
+    return "".join([x if isinstance(x, str) else spun(x, rng) for x in said])
 
 
 def refusal(topic: str, rng: random.Random, families: tuple[str, ...] = tuple(REFUSALS)) -> str:
     """A refusal of one of the families, sometimes with a second one behind it."""
-    said = spun(rng.choice(REFUSALS[rng.choice(families)]), rng)
+    said = spun(_one_of(REFUSALS[_one_of(families, rng)], rng), rng)
     if rng.random() < 0.2:
-        said += " " + spun(rng.choice(REFUSALS[rng.choice(families)]), rng)
+        said += " " + spun(_one_of(REFUSALS[_one_of(families, rng)], rng), rng)
     return said.replace("{}", topic)
 
 
@@ -169,6 +190,19 @@ class _Side:
         self.hidden = np.bincount(w.row[joined], weights=self.letters[joined] // 2, minlength=w.n_rows).astype(np.int64)
 
 
+    def part(self, rows: np.ndarray) -> "_Side":
+        """The side of some of the texts."""
+        out = object.__new__(_Side)
+        out.n_rows, out.count, out.hidden = len(rows), self.count[rows], self.hidden[rows]
+        out.row, out.stop = np.repeat(np.arange(len(rows)), out.count), np.cumsum(out.count)
+        word = out.row.size and np.arange(out.row.size) + np.repeat(self.stop[rows] - out.stop, out.count)
+        out.exact, out.shape, out.script, out.letters = ((x[word] if out.row.size else x[:0]) for x in (self.exact, self.shape, self.script, self.letters))
+        plain = np.zeros(len(self.row), bool)
+        plain[self.plain] = True
+        out.plain = np.flatnonzero(plain[word]) if out.row.size else self.plain[:0]
+        return out
+
+
 def _last_marks(column: pa.Array) -> np.ndarray:
     """For each text 0 to 5 by its last character that is no blank, 6 for a letter or digit, 7 for none."""
     codes, offsets = codepoints(pa.compute.utf8_rtrim_whitespace(column))
@@ -179,6 +213,25 @@ def _last_marks(column: pa.Array) -> np.ndarray:
     return out
 
 
+def _held(some: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """np.isin for hashes: tables addressed by their first bits, and anew for those whose place another one took."""
+    if not len(some) or not len(of):
+        return np.zeros(len(some), bool)
+    away = np.uint64(64 - (8 * len(of)).bit_length())
+    place = (of >> away).astype(np.int64)
+    table = np.full(1 << (8 * len(of)).bit_length(), of[0])
+    table[place] = of
+    asked = (some >> away).astype(np.int64)
+    out = table[asked] == some
+    lost = table[place] != of
+    if lost.any():
+        shared = np.zeros(len(table), bool)
+        shared[place[lost]] = True
+        again = np.flatnonzero(shared[asked] & ~out)
+        out[again] = _held(mix(some[again]), mix(of[lost]))
+    return out
+
+
 def _buckets(values: np.ndarray, edges: list[float]) -> np.ndarray:
     return np.searchsorted(np.array(edges), values, side="right")
 
@@ -207,10 +260,11 @@ def strange_words(side: _Side, languages: np.ndarray, known: np.ndarray) -> np.n
     return strange / np.maximum(np.bincount(row, minlength=side.n_rows), 1)
 
 
-def features(question: pa.Array, answer: pa.Array, languages: "Languages") -> tuple[np.ndarray, np.ndarray]:
-    """(row, feature) of every feature that is on, rows in no order, each feature of a row once or more."""
-    a, q = _Side(answer), _Side(question)
+def features(question: pa.Array | _Side, answer: pa.Array, languages: "Languages", of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(row, feature) of every feature that is on, rows in no order, each feature of a row once or more. of: the place of each answer's question, if not its own."""
+    a, q = _Side(answer), question if isinstance(question, _Side) else _Side(question)
     n = a.n_rows
+    of = np.arange(n) if of is None else of
     mark = _last_marks(answer)
     rows, marks = [], []
 
@@ -252,18 +306,21 @@ def features(question: pa.Array, answer: pa.Array, languages: "Languages") -> tu
     add(every, mark * 16 + size, 42)
     add(every, _buckets(np.bincount(a.row, weights=a.letters, minlength=n), [1, 3, 6, 10, 15, 20, 30]) * 16 + size, 44)
     # What answer and question share.
-    tag = lambda s: mix(s.exact ^ mix(s.row.astype(np.uint64)))
-    ta, tq = tag(a), tag(q)
-    in_q = np.bincount(a.row, weights=np.isin(ta, tq), minlength=n) / np.maximum(a.count, 1)
-    in_a = np.bincount(q.row, weights=np.isin(tq, ta), minlength=n) / np.maximum(q.count, 1)
+    tag = lambda hashes, row: mix(hashes ^ mix(row.astype(np.uint64)))
+    in_q = np.bincount(a.row, weights=_held(tag(a.exact, of[a.row]), tag(q.exact, q.row)), minlength=n) / np.maximum(a.count, 1)
+    asked = q.count[of]  # words of each answer's question, one after the other
+    word = np.repeat((q.stop - q.count)[of] - (np.cumsum(asked) - asked), asked) + np.arange(asked.sum())
+    row = np.repeat(every, asked)
+    in_a = np.bincount(row, weights=_held(tag(q.exact[word], row), tag(a.exact, a.row)), minlength=n) / np.maximum(asked, 1)
     bins = [0.001, 0.2, 0.4, 0.6, 0.8, 0.9, 0.97, 0.9999]
     add(every, _buckets(in_q, bins) * 16 + _buckets(in_a, bins), 50)
     add(every, _buckets(in_q, bins) * 16 + size, 51)
     # Languages of both.
     la, lq = language_scores(a, languages.weights), language_scores(q, languages.weights)
-    best_a, best_q = la.argmax(1), lq.argmax(1)
+    best_a, own = la.argmax(1), lq.argmax(1)
+    best_q = own[of]
     lead = la[every, best_a] - la[every, best_q]
-    sure = lq[every, best_q] - np.partition(lq, -2, axis=1)[:, -2]
+    sure = (lq[np.arange(q.n_rows), own] - np.partition(lq, -2, axis=1)[:, -2])[of]
     steps = [0.5, 1.5, 3, 6, 12, 24]
     # An answer whose words speak for no language here goes by its strange words alone.
     n_plain = np.bincount(a.row[a.plain], minlength=n) + a.hidden
@@ -276,13 +333,13 @@ def features(question: pa.Array, answer: pa.Array, languages: "Languages") -> tu
     # Words strange to the language of the question and letters of other scripts, whatever language the answer is in.
     odd = strange_words(a, best_q, languages.known)
     add(every, _buckets(odd, [0.15, 0.3, 0.45, 0.6, 0.75]) * 16 + few, 63)
-    more = odd - strange_words(q, best_q, languages.known)
+    more = odd - strange_words(q, own, languages.known)[of]
     for step, edge in enumerate((0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7)):  # each edge that is passed counts
         over = np.flatnonzero((odd > edge) & (few > 2))
         add(over, np.full(len(over), step), 64)
         over = np.flatnonzero((more > edge - 0.1) & (few > 2))
         add(over, np.full(len(over), step), 66)
-    other = 1 - np.take_along_axis(script_shares(a), script_shares(q).argmax(1)[:, None], 1)[:, 0]
+    other = 1 - np.take_along_axis(script_shares(a), script_shares(q).argmax(1)[of][:, None], 1)[:, 0]
     letters = np.bincount(a.row[a.plain], weights=a.letters[a.plain], minlength=n)
     add(every, _buckets(np.where(n_plain > 0, other, 0), [0.05, 0.3, 0.5, 0.7, 0.9, 0.99]) * 16 + _buckets(letters, [4, 10, 20]), 65)
     return np.concatenate(rows), np.concatenate(marks).astype(np.int64)
@@ -291,6 +348,12 @@ def features(question: pa.Array, answer: pa.Array, languages: "Languages") -> tu
 _OPEN_WORDS = frozenset().union(*_COMMON_SETS.values()) - {"no", "yes", "so", "it", "not", "oui", "ja", "si", "da", "sì", "sim"}
 
 
+_FULL_STOP = re.compile(r"\.$")
+_BREAKS = ["", "", "", "", ",", " …", " (", " -", "..."]
+_FOUR_WORDS, _FIVE_WORDS = (re.compile(rf"(?:[\W_]*[^\W_]++){{{k}}}") for k in (4, 5))
+_SENTENCE_END, _SENTENCE_REST = re.compile(r"[.!?;|}:\n]\W*$"), re.compile(r"\W*[.!?;|}\n]|\W*$")
+
+
 def _cut(answer: str, rng: random.Random) -> str | None:
     """The answer broken off inside a sentence, or None where it cannot be told from a whole one.
 
@@ -298,19 +361,20 @@ def _cut(answer: str, rng: random.Random) -> str | None:
     """
     if len(answer) < 4:
         return None
-    at = rng.randrange(int(len(answer) * 0.1), max(int(len(answer) * 0.97), int(len(answer) * 0.1) + 1))
+    least = int(len(answer) * 0.1)
+    at = least + int(rng.random() * max(int(len(answer) * 0.97) - least, 1))
     kept = answer[:at].rstrip()
     if rng.random() < 0.5:
         kept = kept[: max(kept.rfind(" "), 0)].rstrip()
     rest = answer[len(kept) :]
     inside = kept[-1:].isalnum() and rest[:1].isalnum()
-    ends_sentence = re.search(r"[.!?;|}:\n]\W*$", kept) or re.match(r"\W*[.!?;|}\n]|\W*$", rest)
-    at_field = answer.lstrip().startswith("{") and not inside
-    said = _WORD.findall(kept)
-    short = len(said) < 4 and not (len(said) > 1 and inside and kept[-1:].isalpha() or said and said[-1].casefold() in _OPEN_WORDS and rest[:1] == " ")
-    if ends_sentence or at_field or short:
+    if _SENTENCE_END.search(kept) or _SENTENCE_REST.match(rest) or not inside and answer.lstrip().startswith("{"):
         return None
-    return kept + rng.choice(("", "", "", "", ",", " …", " (", " -", "..."))
+    if not _FOUR_WORDS.match(kept):
+        said = _WORD.findall(kept)
+        if not (len(said) > 1 and inside and kept[-1:].isalpha() or said and said[-1].casefold() in _OPEN_WORDS and rest[:1] == " "):
+            return None
+    return kept + _one_of(_BREAKS, rng)
 
 
 class _Tongue:
@@ -318,10 +382,10 @@ class _Tongue:
 
     def __init__(self, rng: random.Random):
         vowels, consonants = list("aeiouyäöüáéíóúàèìòùêâôåø"), list("bcdfghjklmnpqrstvwxzçñłśšžß")
-        shuffled = lambda x: rng.sample(x, len(x))
+        shuffled = lambda x: sorted(x, key=lambda _: rng.random())
         self.letters = str.maketrans(dict(zip(vowels + consonants, shuffled(vowels) + shuffled(consonants), strict=True)))
-        self.endings = ["".join(rng.choice("aeiou" if k % 2 else "lnrstmd") for k in range(rng.randint(0, 3))) for _ in range(6)]
-        self.script = rng.choice([0] * 12 + [0x3B1, 0x430, 0x5D0, 0x627, 0x905, 0x3042, 0x4E00, 0xAC00])
+        self.endings = ["".join([_one_of("aeiou" if k % 2 else "lnrstmd", rng) for k in range(int(rng.random() * 4))]) for _ in range(6)]
+        self.script = _one_of([0] * 12 + [0x3B1, 0x430, 0x5D0, 0x627, 0x905, 0x3042, 0x4E00, 0xAC00], rng)
 
     def put(self, text: str, names: set[str]) -> str:
         """The text in the language; names and numbers stay."""
@@ -338,90 +402,99 @@ class _Tongue:
 
 
 def _noisy(text: str, rng: random.Random) -> str:
-    """Other case, blanks and final marks."""
-    k = rng.random()
-    text = text.upper() if k < 0.06 else text.lower() if k < 0.12 else text.title() if k < 0.16 else text.swapcase() if k < 0.2 else text
-    if rng.random() < 0.15:
-        text = re.sub(r" ", lambda m: rng.choice((" ", " ", "  ", "\n", "\t", " ")), text)
-    if rng.random() < 0.15:
-        text = re.sub(r"\.$", rng.choice(("", "", "!", "...", " ")), text)
-    return text
+    """Another final mark at times. No feature sees letter case and kinds of blanks, so these stay."""
+    return _FULL_STOP.sub(_one_of(("", "", "!", "...", " "), rng), text) if rng.random() < 0.15 else text
 
 
 def synthetic(pairs: list[tuple[str, str]], seed: int, families: tuple[str, ...] = tuple(REFUSALS)) -> tuple[list[str], list[str], np.ndarray]:
     """(questions, answers, labels as index into LABELS, -1 for none) made from pairs."""
-    return made_of(pairs, seed, families)[:3]
+    questions, answers, labels, *_ = made_of(pairs, seed, families)
+    return questions, answers, labels
+
 
+def made_of(pairs: list[tuple[str, str]], seed: int, families: tuple[str, ...], side: _Side | None = None) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """The same, with the places in pairs that each is made of (of its question, of its answer) and how often it counts.
 
-def made_of(pairs: list[tuple[str, str]], seed: int, families: tuple[str, ...]) -> tuple[list[str], list[str], np.ndarray, np.ndarray]:
-    """The same, with the places in pairs that each is made of: of its question, of its answer. The first one of each pair is the pair."""
+    The first one of each pair is the pair; a noisy one of it that is the same to all features counts with it. side: the questions.
+    """
     rng = random.Random(seed)
     by_language: dict[str, list[int]] = {}
-    tongues, answer_tongues = ([_LANGUAGES[k] if k >= 0 else None for k in tongues_of(_Side(x))] for x in _columns(pairs))
+    asked, answer = _columns(pairs)
+    tongues, answer_tongues = ([_LANGUAGES[k] if k >= 0 else None for k in tongues_of(x)] for x in (side or _Side(asked), _Side(answer)))
     for j, (k, (_, a)) in enumerate(zip(answer_tongues, pairs, strict=True)):
-        if k and len(_WORD.findall(a)) >= 5:
+        if k and _FIVE_WORDS.match(a):
             by_language.setdefault(k, []).append(j)
-    questions, answers, labels, sources = [], [], [], []
+    questions, answers, labels, sources, times = [], [], [], [], []
 
-    def put(q: str, a: str, label: int, giver: int | None = None) -> None:
+    def put(q: str, a: str, label: int, giver: int | None = None, n: int = 1) -> None:
         questions.append(q)
         answers.append(a)
         labels.append(label)
         sources.append((i, i if giver is None else giver))
+        times.append(n)
 
     for i, (q, a) in enumerate(pairs):
-        put(q, a, -1)
-        put(q, _noisy(a, rng), -1)
+        noisy = _noisy(a, rng)
+        put(q, a, -1, n=1 + (noisy == a))
+        if noisy != a:
+            put(q, noisy, -1)
         for _ in range(2):
             if (cut := _cut(a, rng)) is not None:
                 put(q, _noisy(cut, rng), 1)
         k = i % 4
-        topics = _TOPIC.findall(q) or q.split(" ")[-3:]
+        topics = (_TOPIC.findall(q) or q.split(" ")[-3:]) if k < 2 else []
         if k == 0:
-            put(q, _noisy(rng.choice(topics), rng), -1)  # short and complete
-            put(q, rng.choice(BLANKS) if rng.random() < 0.5 else _noisy(rng.choice(WRAPPERS).format(rng.choice(PLACEHOLDERS)), rng), 0)
+            put(q, _noisy(_one_of(topics, rng), rng), -1)  # short and complete
+            put(q, _one_of(BLANKS, rng) if rng.random() < 0.5 else _noisy(_one_of(WRAPPERS, rng).format(_one_of(PLACEHOLDERS, rng)), rng), 0)
         elif k == 1:
             for _ in range(2):
-                put(q, _noisy(refusal(rng.choice(("", "", "the filings of ", "cases such as ")) + rng.choice(topics), rng, families), rng), 2)
+                put(q, _noisy(refusal(_one_of(("", "", "the filings of ", "cases such as "), rng) + _one_of(topics, rng), rng, families), rng), 2)
         elif k == 2 and q.strip():
             form = rng.random()
-            copy = f'"{q}"' if form < 0.15 else f"{q} {q}" if form < 0.3 else rng.choice(ECHOES) + q if form < 0.5 else q.rstrip("?").rstrip() if form < 0.65 else q
+            copy = f'"{q}"' if form < 0.15 else f"{q} {q}" if form < 0.3 else _one_of(ECHOES, rng) + q if form < 0.5 else q.rstrip("?").rstrip() if form < 0.65 else q
             put(q, _noisy(copy, rng), 3)
         elif tongues[i]:
             others = [x for x in by_language if x != tongues[i]]
             if others:
-                giver = rng.choice(by_language[rng.choice(others)])
+                giver = _one_of(by_language[_one_of(others, rng)], rng)
                 put(q, _noisy(pairs[giver][1], rng), 4, giver)
-            if sum(w[0].islower() for w in _WORD.findall(a)) > 3:
-                put(q, _noisy(_Tongue(rng).put(a, {w for w in _WORD.findall(a) if w[0].isupper()} - set(_WORD.findall(a)[:1])), rng), 4)
-    return questions, answers, np.array(labels), np.array(sources, np.int64).reshape(-1, 2)
+            words = _WORD.findall(a)
+            if sum([w[0].islower() for w in words]) > 3:
+                put(q, _noisy(_Tongue(rng).put(a, {w for w in words if w[0].isupper()} - set(words[:1])), rng), 4)
+    return questions, answers, np.array(labels), np.array(sources, np.int64).reshape(-1, 2), np.array(times, np.int64)
+
+
+def _dot(a: np.ndarray, b: np.ndarray) -> float:
+    """The product of two vectors by one thread, as those of BLAS wait for each other at the cost of CPU time."""
+    return float(np.einsum("i,i", a, b))
 
 
-def minimised(value_and_slope, w: np.ndarray, steps: int, memory: int = 6) -> np.ndarray:
-    """The minimum of a smooth convex function, by L-BFGS with halved steps."""
+def minimised(value_and_slope, w: np.ndarray, steps: int, memory: int = 6, least_fall: float = 1e-5) -> np.ndarray:
+    """The minimum of a smooth convex function, by L-BFGS with halved steps. It ends when STEADY steps together fall by less than least_fall of the value."""
     value, slope = value_and_slope(w)
+    values = [value]
     past: list[tuple[np.ndarray, np.ndarray, float]] = []
     for _ in range(steps):
         way, parts = slope.copy(), []
         for s, y, rho in reversed(past):
-            parts.append(rho * (s @ way))
+            parts.append(rho * _dot(s, way))
             way -= parts[-1] * y
         if past:
-            way *= 1 / (past[-1][2] * (past[-1][1] @ past[-1][1]))
+            way *= 1 / (past[-1][2] * _dot(past[-1][1], past[-1][1]))
         for (s, y, rho), part in zip(past, reversed(parts), strict=True):
-            way += s * (part - rho * (y @ way))
-        fall, size = slope @ way, 1.0 if past else min(1.0, 1.0 / max(np.abs(slope).max(), 1e-12))
+            way += s * (part - rho * _dot(y, way))
+        fall, size = _dot(slope, way), 1.0 if past else min(1.0, 1.0 / max(np.abs(slope).max(), 1e-12))
         while True:
             new_value, new_slope = value_and_slope(w - size * way)
             if new_value <= value - 1e-4 * size * fall or size < 1e-6:
                 break
             size /= 2
         s, y = -size * way, new_slope - slope
-        if s @ y > 1e-12:
-            past = [*past, (s, y, 1 / (s @ y))][-memory:]
-        w, done = w + s, value - new_value < 1e-5 * max(value, 1e-9)
-        value, slope = new_value, new_slope
-        if done:
+        if _dot(s, y) > 1e-12:
+            past = [*past, (s, y, 1 / _dot(s, y))][-memory:]
+        w, value, slope = w + s, new_value, new_slope
+        values.append(value)
+        if fall <= 0 or len(values) > STEADY and values[-1 - STEADY] - value < least_fall * max(value, 1e-9):
             break
     return w
 
@@ -432,9 +505,9 @@ class _Fit:
     Equal rows of one label count as one of their common weight, features of the same rows as one of the length of them all.
     """
 
-    def __init__(self, row: np.ndarray, feature: np.ndarray, labels: np.ndarray):
-        self.row, self.feature, self.labels, self.parts = row, feature, labels, []
-        seen = np.bincount(feature, minlength=DIMENSIONS)
+    def __init__(self, row: np.ndarray, feature: np.ndarray, labels: np.ndarray, times: np.ndarray):
+        self.row, self.feature, self.labels, self.times, self.parts = row, feature, labels, times, []
+        seen = np.bincount(feature, weights=times[row], minlength=DIMENSIONS)
         for wide in (DIMENSIONS, PAIR_DIMENSIONS):
             used = (seen > 1) & (np.arange(DIMENSIONS) < wide)
             place, keep = np.cumsum(used) - 1, used[feature]
@@ -447,37 +520,61 @@ class _Fit:
             r, f = r[mine], of_feature[f[mine]]
             label = np.zeros(of_row.max(initial=-1) + 1, np.int64)
             label[of_row] = labels
-            by_row, by_feature = np.argsort(r, kind="stable"), np.argsort(f, kind="stable")
-            rows, row_starts = np.unique(r[by_row], return_index=True)
-            feature_starts = np.unique(f[by_feature], return_index=True)[1]
+            by_row, by_feature = _order(r), _order(f)
+            rows, row_starts = _runs(r[by_row])
+            feature_starts = _runs(f[by_feature])[1]
             self.parts.append((used, of_row, of_feature, label, rows, f[by_row], row_starts, r[by_feature], feature_starts))
 
-    def weights(self, kept: np.ndarray, share: float, steps: int, ridge: float = 2e-6) -> np.ndarray:
-        """Weights (label, feature) by the rows kept for each label. The pairs of a label weigh at least `share` of all others."""
+    def weights(self, kept: np.ndarray, share: float, steps: int, ridge: float = 2e-6, start: np.ndarray | None = None, least_fall: float = LEAST_FALL) -> np.ndarray:
+        """Weights (label, feature) by the rows kept for each label. The pairs of a label weigh at least `share` of all others.
+
+        start: weights to begin from, such as those of a fit with nearly the same rows. Features are scaled by the fourth root of
+        their weight, between none and full scaling by curvature: the minimum is the same and reached in fewer steps.
+        """
         out = np.zeros((len(LABELS), DIMENSIONS), np.float32)
         for k, sound in enumerate(kept):
             used, of_row, of_feature, label, rows, features_by_row, row_starts, rows_by_feature, feature_starts = self.parts[k in PAIR_LABELS]
-            n = sound.sum()
+            counts = self.times * sound
+            n = counts.sum()
             if not n or not len(of_feature):
                 continue
             target = (self.labels == k) & sound
-            balance = np.where(target, max(1.0, share * (n - target.sum()) / max(target.sum(), 1)), sound) / n
+            mine = counts[target].sum()
+            balance = np.where(target, max(1.0, share * (n - mine) / max(mine, 1)), 1.0) * counts / n
             if k == 4:  # refusals and placeholders come in any language and say nothing on whether it is the right one
                 balance[(self.labels == 2) | (self.labels == 0)] = 0
-            weight, hit = np.bincount(of_row, weights=balance), label == k
-            length = np.sqrt(np.bincount(of_feature))
+            weight, hit = np.bincount(of_row, weights=balance), (label == k).astype(np.float64)
+            alike = np.bincount(of_feature)
+            wide = k not in PAIR_LABELS  # the others have few features, and their steps cost next to nothing
+            scale = (np.add.reduceat(weight.take(rows_by_feature), feature_starts) * alike / 4 + 1e-4) ** -0.25 if wide else np.ones(len(alike))
+            length = np.sqrt(alike) * scale
 
             def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
                 z = np.zeros(len(hit))
                 z[rows] = np.add.reduceat((w * length).take(features_by_row), row_starts)  # noqa: B023
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                value = (weight * (np.logaddexp(0, z) - hit * z)).sum() + ridge / 2 * (w @ w)  # noqa: B023
-                return float(value), np.add.reduceat(((p - hit) * weight).take(rows_by_feature), feature_starts) * length + ridge * w  # noqa: B023
-
-            out[k, used] = (minimised(loss, np.zeros(len(length)), steps) / length)[of_feature]
+                e = np.exp(-np.abs(z))
+                p = np.where(z >= 0, 1, e) / (1 + e)
+                own = w * scale  # noqa: B023
+                value = _dot(weight, np.log1p(e) + np.maximum(z, 0) - hit * z) + ridge / 2 * _dot(own, own)  # noqa: B023
+                return value, np.add.reduceat(((p - hit) * weight).take(rows_by_feature), feature_starts) * length + ridge * own * scale  # noqa: B023
+
+            began = np.zeros(len(length)) if start is None else np.bincount(of_feature, weights=start[k, used]) / length
+            out[k, used] = (minimised(loss, began, steps, least_fall=least_fall if wide else 1e-5) * scale / np.sqrt(alike))[of_feature]
         return out
 
 
+def _order(x: np.ndarray) -> np.ndarray:
+    """The stable order of small whole numbers, by their halves of 16 bits."""
+    by = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
+    return by if x.max(initial=0) < 1 << 16 else by[np.argsort((x[by] >> 16).astype(np.uint16), kind="stable")]
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(value, start) of the runs of equal numbers."""
+    starts = np.flatnonzero(np.diff(x, prepend=-1))
+    return x[starts], starts
+
+
 def _alike(of: np.ndarray, holds: np.ndarray, n: int, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of n sets, given as pairs (set, member), whether each is the first of its equals, and the number of its class; sets of two kinds differ."""
     salt = mix(np.arange(holds.max(initial=0) + 1, dtype=np.uint64) + np.uint64(1))
@@ -491,7 +588,10 @@ def _alike(of: np.ndarray, holds: np.ndarray, n: int, kind: np.ndarray) -> tuple
 
 
 def _scores(row: np.ndarray, feature: np.ndarray, n: int, weights: np.ndarray) -> np.ndarray:
-    return np.stack([np.bincount(row, weights=weights[k][feature], minlength=n) for k in range(len(LABELS))])
+    """Scores (label, row). Labels judged by features of the pair have weights on no others."""
+    paired = np.flatnonzero(feature < PAIR_DIMENSIONS)
+    some = [(row[paired], feature[paired]) if k in PAIR_LABELS else (row, feature) for k in range(len(LABELS))]
+    return np.stack([np.bincount(r, weights=weights[k].take(f), minlength=n) for k, (r, f) in enumerate(some)])
 
 
 @dataclass(frozen=True)
@@ -517,14 +617,24 @@ class Model:
         return np.where(over[best, np.arange(len(answer))] > 0, best, -1)
 
 
-_COMMON_HASHES = {}
+@functools.cache
+def _common_words() -> tuple[np.ndarray, np.uint64, np.ndarray, np.ndarray]:
+    """(hashes of the common words, shift, place of the hash by 16 bits from the shift on, whether a language has it)."""
+    hashes = [Words(pa.array(sorted(v), pa.string())).hashes for v in _COMMON_SETS.values()]
+    every = np.unique(np.concatenate(hashes))
+    shift = next(k for k in range(49) if len(np.unique(every >> np.uint64(k) & np.uint64(0xFFFF))) == len(every))
+    place = np.zeros(1 << 16, np.int64)
+    place[every >> np.uint64(shift) & np.uint64(0xFFFF)] = np.arange(len(every))
+    return every, np.uint64(shift), place, np.stack([np.isin(every, h) for h in hashes])
 
 
 def tongues_of(side: _Side) -> np.ndarray:
     """The language() of every text, as index into COMMON, -1 for none."""
-    if not _COMMON_HASHES:
-        _COMMON_HASHES.update({k: Words(pa.array(sorted(v), pa.string())).hashes for k, v in _COMMON_SETS.items()})
-    held = np.stack([np.bincount(side.row[np.isin(side.exact, h)], minlength=side.n_rows) for h in _COMMON_HASHES.values()])
+    every, shift, place, has = _common_words()
+    word = place[side.exact >> shift & np.uint64(0xFFFF)]
+    common = np.flatnonzero(every[word] == side.exact)
+    row, word = side.row[common], word[common]
+    held = np.stack([np.bincount(row[mine[word]], minlength=side.n_rows) for mine in has])
     top = np.sort(held, axis=0)
     return np.where(top[-1] > np.maximum(1, top[-2]), held.argmax(0), -1)
 
@@ -543,7 +653,8 @@ def count_languages(question: pa.Array, answer: pa.Array) -> tuple[np.ndarray, n
         mine = labels[side.row] >= 0
         row, at = side.row[mine], at[mine]
         counts += np.bincount(labels[row] * LANGUAGE_DIMENSIONS + at, minlength=counts.size).reshape(counts.shape)
-        once = np.unique(row * LANGUAGE_DIMENSIONS + at)
+        once = np.sort(row * LANGUAGE_DIMENSIONS + at)
+        once = once[np.diff(once, prepend=-1) > 0]
         texts += np.bincount(labels[once // LANGUAGE_DIMENSIONS] * LANGUAGE_DIMENSIONS + once % LANGUAGE_DIMENSIONS, minlength=texts.size).reshape(texts.shape)
     return counts, texts, 2 * len(question)
 
@@ -622,6 +733,17 @@ def _part(keep: np.ndarray, row: np.ndarray, feature: np.ndarray) -> tuple[np.nd
     return (np.cumsum(keep) - 1)[row[mine]], feature[mine]
 
 
+def _made_features(side: _Side, answers: list[str], languages: Languages, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features of many answers, some at a time, as small arrays stay in the caches."""
+    answer, parts = pa.array(answers, pa.string()), []
+    for start, stop in row_slices(byte_sizes(answer) + 100, BATCH_BYTES // 2):
+        mine = of[start:stop]
+        some, place = np.unique(mine, return_inverse=True)
+        row, feature = features(side.part(some), answer.slice(start, stop - start), languages, place)
+        parts.append((row + start, feature))
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.empty(0, np.int64), np.empty(0, np.int64))
+
+
 def fit_block(pairs: list[tuple[str, str]], languages: Languages, seed: int = 11, families: tuple[str, ...] = tuple(REFUSALS)) -> tuple[np.ndarray, np.ndarray]:
     """(weights, how often each feature occurs) from pairs. Pairs that a first fit finds defective do not stand for sound ones in the last."""
     rng = random.Random(seed)
@@ -630,26 +752,29 @@ def fit_block(pairs: list[tuple[str, str]], languages: Languages, seed: int = 11
     half = len(pairs) // 2
     halves = []
     for some, salt in ((pairs[:half], 3), (pairs[half:], 7)):
-        questions, answers, labels, sources = made_of(some, seed + salt, families)
-        row, feature = features(pa.array(questions, pa.string()), pa.array(answers, pa.string()), languages)
+        side = _Side(_columns(some)[0])
+        _, answers, labels, sources, times = made_of(some, seed + salt, families, side)
+        row, feature = _made_features(side, answers, languages, sources[:, 0])
         first = np.ones(len(labels), bool)  # the pairs as they came
         first[1:] = sources[1:, 0] != sources[:-1, 0]
-        halves.append((len(some), _Fit(row, feature, labels), sources, _part(first, row, feature)))
+        halves.append((len(some), _Fit(row, feature, labels, times), sources, _part(first, row, feature)))
 
     # Each half is cleaned by what the other half teaches, as a model excuses the defects that it was taught as sound. The pairs most
     # like a worded defect do not teach that one, whatever their score, as wordings never made here are taught as sound in both.
     sound = [np.ones((len(LABELS), n), bool) for n, *_ in halves]
-    for _ in range(3):
-        taught = [x.weights(keep[:, sources].all(2), 1.0, 20) for (_, x, sources, _), keep in zip(halves, sound, strict=True)]
+    taught = [None, None]
+    for _ in range(3):  # each fit goes on from the last one
+        taught = [x.weights(keep[:, sources].all(2), 1.0, 20, start=last, least_fall=CLEANING_FALL) for (_, x, sources, _), keep, last in zip(halves, sound, taught, strict=True)]
         for i, (n, *_, came) in enumerate(halves):
             score = _scores(*came, n, taught[1 - i])
             sound[i] = np.tile((score <= -2).all(0), (len(LABELS), 1))
             for k in WORDED_LABELS if n else ():
                 sound[i][k] &= score[k] <= np.quantile(score[k], 1 - SET_ASIDE)
     (_, x, _, _), (_, y, _, _) = halves
-    both = _Fit(np.concatenate([x.row, y.row + len(x.labels)]), np.concatenate([x.feature, y.feature]), np.concatenate([x.labels, y.labels]))
+    both = _Fit(np.concatenate([x.row, y.row + len(x.labels)]), np.concatenate([x.feature, y.feature]), np.concatenate([x.labels, y.labels]), np.concatenate([x.times, y.times]))
     kept = np.concatenate([keep[:, sources].all(2) for keep, (_, _, sources, _) in zip(sound, halves, strict=True)], axis=1)
-    return both.weights(kept, TRAIN_SHARE, 60), np.bincount(both.feature[kept.any(0)[both.row]], minlength=DIMENSIONS)
+    seen = np.bincount(both.feature, weights=(both.times * kept.any(0))[both.row], minlength=DIMENSIONS).astype(np.int64)
+    return both.weights(kept, TRAIN_SHARE, 60, start=(taught[0] + taught[1]) / 2), seen
 
 
 def fit(pairs: list[tuple[str, str]], seed: int = 11, families: tuple[str, ...] = tuple(REFUSALS)) -> Model:
@@ -709,7 +834,7 @@ def train(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> Model:
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> np.ndarray:
         total = np.zeros((2, DIMENSIONS, 1 + len(LABELS)), np.int64)
-        rows = ((x["block"], (x["question"], x["answer"])) for batch in batches for x in batch.to_pylist())
+        rows = (x for batch in batches for x in zip(batch["block"].to_pylist(), zip(batch["question"].to_pylist(), batch["answer"].to_pylist(), strict=True), strict=True))
         for block, of_block in itertools.groupby(rows, key=lambda x: x[0]):
             weights, seen = fit_block([x for _, x in of_block], languages.value)
             total[block % 2, :, 0] += seen
@@ -727,8 +852,8 @@ def train(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> Model:
         for part in _slices(batches):
             row, feature = features(part["question"], part["answer"], languages.value)
             other = 1 - part["block"].to_numpy() % 2
-            for k in range(len(LABELS)):
-                score = np.bincount(row, weights=of_fold.value[other[row], k, feature], minlength=part.num_rows)
+            fold = [_scores(row, feature, part.num_rows, w) for w in of_fold.value]
+            for k, score in enumerate(np.where(other, fold[1], fold[0])):
                 total += np.bincount(k * BINS + np.clip(np.rint(score / BIN).astype(np.int64) + BINS // 2, 0, BINS - 1), minlength=len(total))
         return total[:, None]
 

@@ -165,3 +165,68 @@ def test_the_model_does_not_depend_on_partitions(spark):
     one, other = (defects.train(df.repartition(n), block_rows=60) for n in (1, 7))
     assert (one.weights == other.weights).all() and (one.thresholds == other.thresholds).all()
     assert one.weights.any()
+
+
+def test_a_fit_takes_few_passes(monkeypatch):
+    passes, minimised = [], defects.minimised
+
+    def counted(value_and_slope, w, *args, **options):
+        return minimised(lambda x: passes.append(len(x)) or value_and_slope(x), w, *args, **options)
+
+    monkeypatch.setattr(defects, "minimised", counted)
+    some = sorted(set(pairs(1500, 1)))
+    defects.fit_block(some, defects.fit_languages(some))
+    assert sum(passes) < 900_000  # weights that all passes together went over
+
+
+def test_going_on_from_a_minimum_ends_at_once_and_no_higher():
+    a = np.diag(np.arange(1.0, 21))
+    values = []
+
+    def bowl(w):
+        values.append(float(0.5 * w @ a @ w - w.sum()) + 3)
+        return values[-1], a @ w - 1
+
+    w = defects.minimised(bowl, np.zeros(20), 200)
+    lowest, values[:] = values[-1], []
+    defects.minimised(bowl, w, 200, least_fall=0.005)
+    assert len(values) < 8 and values[-1] <= lowest + 1e-9
+
+
+def test_answers_to_one_question_share_its_side():
+    some = pairs(60, 3)
+    q, a = defects._columns(some)
+    languages = defects.fit_languages(some)
+    of = np.array([5, 5, 0, 41, 5, 7])
+    each = lambda x: sorted(zip(*(y.tolist() for y in x), strict=True))
+    answers = a.slice(10, len(of))
+    shared = defects.features(defects._Side(q), answers, languages, of)
+    assert each(shared) == each(defects.features(q.take(pa.array(of)), answers, languages))
+    assert each(defects._made_features(defects._Side(q), answers.to_pylist(), languages, of)) == each(shared)
+
+
+def test_features_see_neither_case_nor_kinds_of_blanks():
+    some = pairs(40, 3)
+    q, a = defects._columns(some)
+    languages = defects.fit_languages(some)
+    plain = [np.sort(x) for x in defects.features(q, a, languages)]
+    for change in (str.upper, str.lower, str.title, str.swapcase, lambda t: t.replace(" ", " \n\t ")):
+        other = defects.features(q, pa.array([change(x) for _, x in some]), languages)
+        assert all((x == np.sort(y)).all() for x, y in zip(plain, other, strict=True))
+
+
+def test_a_noisy_pair_that_is_the_same_counts_with_its_pair():
+    some = pairs(400, 3)
+    _, answers, labels, sources, times = defects.made_of(some, 1, tuple(defects.REFUSALS))
+    of_pair = np.bincount(sources[:, 0], weights=times * (np.array(answers, object) == np.array([some[i][1] for i in sources[:, 0]], object)) * (labels == -1))
+    changed = np.bincount(sources[:, 0], weights=(labels == -1) & (times == 1))
+    assert set(times) == {1, 2} and ((of_pair == 2) | (changed >= 2)).all()
+
+
+def test_held_is_membership():
+    rng = np.random.default_rng(4)
+    near = (np.uint64(7) << np.uint64(50)) + np.arange(300, dtype=np.uint64)  # all in one place of the first table
+    of = np.concatenate([rng.integers(0, 1 << 63, 2000, dtype=np.uint64), near, near[:50]])
+    some = np.concatenate([rng.permutation(of)[:900], rng.integers(0, 1 << 63, 900, dtype=np.uint64), near + np.uint64(200), np.zeros(3, np.uint64)])
+    assert (defects._held(some, of) == np.isin(some, of)).all()
+    assert not defects._held(some, of[:0]).any() and not len(defects._held(some[:0], of))
