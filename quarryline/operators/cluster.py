@@ -38,13 +38,21 @@ class Built:
 
 
 def _split_keys(members: DataFrame, max_chunks: int) -> DataFrame:
-    """members (group, chunk_id, doc_id, chunk_index) with `split` and `split_count`: one split up to max_chunks, else slices of max_chunks by document."""
-    sizes = members.groupBy("group").agg(F.count("*").alias("group_size"))
-    sized = join_unique(members, sizes.withColumn("n", F.col("group_size")), "group", "n")
+    """members (group, chunk_id, doc_id, chunk_index) with `split` and `group_size`: one split up to max_chunks, else slices of max_chunks by document.
+
+    Given back as a table, as members, sizes and the rows that touch them are read several times and plans would multiply.
+    """
+    cuts = Cuts(members.sparkSession, "clusters")
+    members = cuts.cut(members)
+    sizes, seen = cuts.measured(members.groupBy("group").agg(F.count("*").alias("group_size")), most=F.coalesce(F.max("group_size"), F.lit(0)))
+    sized = join_unique(members, sizes.withColumn("n", F.col("group_size")), "group", "n", seen["most"])
     rn = F.row_number().over(Window.partitionBy("group", "doc_id").orderBy("chunk_index", "chunk_id"))
     small = sized.where(F.col("group_size") <= max_chunks).withColumn("split", F.struct(F.lit("").alias("doc"), F.lit(0).cast("long").alias("slice")))
     large = sized.where(F.col("group_size") > max_chunks).withColumn("split", F.struct(F.col("doc_id").alias("doc"), F.floor((rn - 1) / max_chunks).cast("long").alias("slice")))
-    return small.unionByName(large)
+    out = cuts.cut(small.unionByName(large))
+    for used in (members, sizes):
+        cuts.drop(used)
+    return out
 
 
 def _touching(split: DataFrame, cited: DataFrame, on: list[str]) -> DataFrame:
@@ -94,7 +102,7 @@ def gap_groups(cited: DataFrame, max_gap: int = MAX_GAP) -> DataFrame:
 def _assembled(cuts: Cuts, built: Built, rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(clusters, members, seeds) of one kind, keyed by (group, split)."""
     key = ["group", "split"]
-    members = cuts.cut(built.members.select(*key, "chunk_id", "group_size"))
+    members = built.members if hasattr(built.members, "_cut_path") else cuts.cut(built.members.select(*key, "chunk_id", "group_size"))
     listed = F.array_sort(F.collect_list(F.struct(ref_doc(F.col("chunk_id")).alias("doc_id"), ref_index(F.col("chunk_id")).alias("chunk_index"), "chunk_id"))).alias("c")
     sets = members.groupBy(*key).agg(listed, F.max("group_size").alias("group_size"))
     sets = sets.select(*key, F.transform("c", lambda x: x["chunk_id"]).alias("chunk_ids"), F.array_sort(F.array_distinct(F.transform("c", lambda x: x["doc_id"]))).alias("doc_ids"), "group_size")

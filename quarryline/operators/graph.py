@@ -35,16 +35,19 @@ def chunk_components(cited: DataFrame) -> DataFrame:
     nodes = with_ordinal(cited.select("chunk_id").distinct(), [F.col("chunk_id")], "node")
     links = cited.select("record_number", "chunk_id").join(nodes, "chunk_id").select(F.col("record_number").alias("key"), "node")
     named = components(star_edges(links))
-    tied = nodes.join(named, "node", "left").select("chunk_id", F.coalesce("component", "node").alias("c"))
+    cuts = Cuts(cited.sparkSession, "graph")
+    # What follows reads it several times, and `named` is a join for each round.
+    tied = cuts.cut(nodes.join(named, "node", "left").select("chunk_id", F.coalesce("component", "node").alias("c")))
     sizes = tied.groupBy("c").agg(F.count("*").alias("n")).join(nodes.select(F.col("node").alias("c"), F.col("chunk_id").alias("component")), "c")
-    sizes, seen = Cuts(cited.sparkSession, "graph").measured(sizes, most=F.max("n"))
+    sizes, seen = cuts.measured(sizes, most=F.max("n"))
     return join_unique(tied, sizes, "c", "n", seen["most"]).select("chunk_id", "component")
 
 
 def component_sizes(members: DataFrame) -> DataFrame:
     """(chunk_id, component, size) for components of two or more chunks."""
     sizes = members.groupBy("component").agg(F.count("*").alias("size")).where("size > 1")
-    return join_unique(members, sizes.withColumn("n", F.col("size")), "component", "n").select("chunk_id", "component", "size")
+    sizes, seen = Cuts(members.sparkSession, "graph").measured(sizes, most=F.coalesce(F.max("size"), F.lit(0)))
+    return join_unique(members, sizes.withColumn("n", F.col("size")), "component", "n", seen["most"]).select("chunk_id", "component", "size")
 
 
 def densities(members: DataFrame, weighted: DataFrame, fixed: bool = False) -> DataFrame:

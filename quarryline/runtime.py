@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_lock, _writing = threading.Lock(), Counter()
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +42,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextlib.contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Writes begun in here delete their shuffle files when they end, as nothing reads them again; else they stay until the driver collects its garbage.
+
+    The setting goes back with the last of the writes that run at a time, since other results may be read twice.
+    """
+    at = spark._jsparkSession.sessionUUID()
+    with _lock:
+        own = spark.conf.get(CLEANUP_KEY, "false") == "true" and not _writing[at]  # the session's own wish stays
+        if not own:
+            _writing[at] += 1
+            spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            if not own:
+                _writing[at] -= 1
+                if not _writing[at]:
+                    spark.conf.unset(CLEANUP_KEY)
+
+
 class Cuts:
     """Tables written to the shared folder to cut lineage. They outlive a lost executor; a superseded one is dropped."""
 
@@ -44,7 +73,8 @@ class Cuts:
     def cut(self, df: DataFrame) -> DataFrame:
         """Writes df and reads it back."""
         path = scratch_path(self.spark, self.name)
-        df.write.parquet(path)
+        with _shuffles_end(self.spark):
+            df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
         back._cut_path = path
         return back

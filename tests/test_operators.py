@@ -1,9 +1,11 @@
 import random
+import time
 from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarryline import runtime
 from quarryline.operators import assign, cluster, components, delta, docfigures, export, graph, hydrate, keyfigures, ordinals, profile, replies, select, skew
 from quarryline.sources import training as T
 
@@ -129,6 +131,48 @@ def test_gap_groups(spark):
     assert sorted(map(sorted, groups.values())) == [["d#1", "d#4"], ["d#8"], ["e#3"]]
 
 
+def _plan_sizes(monkeypatch):
+    """Fills with the plan size of each table that is cut from now on."""
+    sizes, cut = [], runtime.Cuts.cut
+
+    def sized(self, df):
+        sizes.append(len(df._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+        return cut(self, df)
+
+    monkeypatch.setattr(runtime.Cuts, "cut", sized)
+    return sizes
+
+
+def test_plans_of_linked_chunks_do_not_multiply(spark, monkeypatch):
+    rows = [(n, [f"d{n % 7}#{n}", f"d{n % 7}#{n + 1}", f"d{n % 5}#{n * 3}"], ["d1"]) for n in range(40)]
+    live = spark.createDataFrame(rows, "record_number long, evidence_signature array<string>, doc_set_signature array<string>")
+    sizes = _plan_sizes(monkeypatch)
+    tied = graph.component_sizes(graph.chunk_components(T.citations(live)))
+    assert tied.count() > 0
+    assert len(tied._jdf.queryExecution().optimizedPlan().toString().splitlines()) < 40
+    assert max(sizes) < 80
+
+
+def test_members_of_groups_are_made_once(spark):
+    members = spark.createDataFrame([("g", f"d{i % 3}#{i}", f"d{i % 3}", i) for i in range(9)] + [("h", "d1#1", "d1", 1)], "group string, chunk_id string, doc_id string, chunk_index int")
+    split = cluster._split_keys(members.distinct(), 4)
+    assert sorted((r.group, r.split.doc, r.n) for r in split.groupBy("group", "split").agg(F.count("*").alias("n")).collect()) == [("g", "d0", 3), ("g", "d1", 3), ("g", "d2", 3), ("h", "", 1)]
+    assert "Join" not in split._jdf.queryExecution().optimizedPlan().toString()  # a table, which any number of readers may use
+
+
+def test_cuts_leave_no_shuffle_files(spark):
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = lambda: sum(tracker.getAllFiles().apply(i).getName().startswith("shuffle_") for i in range(tracker.getAllFiles().size()))
+    before = files()
+    back = runtime.Cuts(spark, "files").cut(spark.range(1000).repartition(3).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before and back.count() == 7
+    assert spark.conf.get(runtime.CLEANUP_KEY) == "false"
+
+
 def test_density_looks_up_string_order(spark):
     members = spark.createDataFrame([("c", "d#9"), ("c", "d#10")], "cluster string, chunk_id string")
     weighted = spark.createDataFrame([("d#9", "d#10", 1)], "src string, dst string, weight long")
