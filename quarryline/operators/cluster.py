@@ -110,8 +110,8 @@ def _assembled(cuts: Cuts, built: Built, rows: DataFrame) -> tuple[DataFrame, Da
         sets = sets.where(F.size("chunk_ids") > 1)
     if built.kind == "multi_doc_bridge":
         sets = sets.where(F.size("doc_ids") > 1)
-    touched = cuts.cut(built.rows.join(rows.select("record_number", "train_key", "pipeline", "question_key"), "record_number"))
-    seeds = touched.select(*key, "train_key").distinct()
+    touched = cuts.cut(built.rows.join(rows.select("record_number", "key", "pipeline", "question_key"), "record_number"))
+    seeds = touched.select(*key, "key").distinct()
     counts = seeds.groupBy(*key).agg(F.count("*").alias("row_count"))
     questions = touched.where("question_key is not null").select(*key, "question_key").distinct().groupBy(*key).agg(F.count("*").alias("unique_question_count"))
     sources = touched.where("pipeline <> ''").select(*key, "pipeline").distinct().groupBy(*key).agg(F.array_sort(F.collect_list("pipeline")).alias("source_pipelines"))
@@ -161,7 +161,7 @@ def _of_kind(cuts: Cuts, live: DataFrame, at: int, kind: str, max_chunks: int, m
         "row_count",
         "unique_question_count",
     )
-    keyed = seeds.select(F.lit(kind).alias("cluster_kind"), "group", "split", "train_key")
+    keyed = seeds.select(F.lit(kind).alias("cluster_kind"), "group", "split", "key")
     part = cuts.cut(part)  # plans stay small, and the sort below reads a table
     return part, keyed
 
@@ -174,9 +174,9 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
     order, ties resolved by signature; row_count counts distinct train keys. Kinds that are left out consume no numbers.
     """
     cuts = Cuts(rows.sparkSession, "clusters")
-    # Questions travel as 128 bits of their normal form, which is made once a row.
+    # Questions travel as 128 bits of their normal form, which is made once a row, and train keys as 128 bits: as text they would fill the disk.
     asked = F.when(F.col("question") != "", F.unhex(F.md5(normalized_question(F.col("question")))))
-    live = cuts.cut(rows.where("not is_dup").select("record_number", "train_key", "pipeline", "evidence_signature", "doc_set_signature", asked.alias("question_key")))
+    live = cuts.cut(rows.where("not is_dup").select("record_number", "train_key", F.unhex(F.md5("train_key")).alias("key"), "pipeline", "evidence_signature", "doc_set_signature", asked.alias("question_key")))
     # The kinds do not depend on each other: their many small jobs share the executors.
     with ThreadPoolExecutor(len(KINDS) + 1) as pool:
         edges = pool.submit(lambda: cuts.cut(graph.edges(citations(live))))
@@ -191,7 +191,8 @@ def clusters(rows: DataFrame, *, max_chunks: int = MAX_CHUNKS, max_gap: int = MA
     whole = numbered.join(dense, F.col("cluster_id") == F.col("cluster")).select(
         "cluster_id", "cluster_kind", "ordinal", "chunk_ids", "doc_ids", "source_pipelines", "split_from", "row_count", "unique_question_count", F.size("chunk_ids").alias("chunk_count"), F.size("doc_ids").alias("doc_count"), "edge_density"
     )
-    seeds = tied.join(numbered.select("cluster_id", "cluster_kind", "group", "split"), ["cluster_kind", "group", "split"]).select("cluster_id", "train_key")
+    seeds = tied.join(numbered.select("cluster_id", "cluster_kind", "group", "split"), ["cluster_kind", "group", "split"]).select("cluster_id", "key")
+    seeds = seeds.join(live.select("key", "train_key").distinct(), "key").select("cluster_id", "train_key")
     return whole, seeds
 
 

@@ -190,6 +190,15 @@ def test_clusters_do_not_depend_on_partitions(spark):
     assert cluster.clusters(rows.limit(0))[0].count() == 0
 
 
+def test_train_keys_travel_short(spark):
+    rows = T.training(source(spark, 30))
+    live = rows.where("not is_dup").withColumns({"key": F.unhex(F.md5("train_key")), "question_key": F.unhex(F.md5("question"))})
+    _, _, seeds = cluster._assembled(runtime.Cuts(spark, "short"), cluster.build(live, "doc_set"), live)
+    assert seeds.count() > 0 and seeds.where(F.length("key") > 16).count() == 0
+    _, named = cluster.clusters(rows)
+    assert named.join(rows, "train_key", "left_anti").count() == 0 and named.count() == named.distinct().count()
+
+
 def test_split_units(spark):
     rows = [("eqg_docset_000001", "doc_set", [f"d#{i}" for i in (10, 9, 1)] + [f"e#{i}" for i in range(7)], ["d", "e"], None, 3, 0.5)]
     found = spark.createDataFrame(rows, "cluster_id string, cluster_kind string, chunk_ids array<string>, doc_ids array<string>, split_from string, row_count long, edge_density double")
